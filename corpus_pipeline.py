@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from radpref.llm.common import cut, table
 from radpref.llm.decontamination import decontaminate
 from radpref.llm.mixing import mixed_documents
+from radpref.llm.near_dedup import near_duplicates
 from radpref.llm.token_output import token_output
 from radpref.llm.toxicity import fit, score_documents
 
@@ -22,6 +23,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels"))).where("toxic_score < 0.5").select(docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (shingles of five words, similarity 0.8) one document stays.
+
+    Rows that share an id are one document and stay or go together. Rows of no id all stay.
+    """
+    copies = near_duplicates(docs).where("not kept").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).where(F.size("hit_spans") == 0).select(docs.columns)
@@ -39,6 +49,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("MinHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
     ("mixing sources to target weights", mix_sources),
     ("token-id output", write_tokens),

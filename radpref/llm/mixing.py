@@ -190,7 +190,8 @@ def mixed_documents(docs: DataFrame, p: MixParams = MixParams(block_words=None))
     Ids are taken to be of one document each; rows that share one are taken equally often. Documents of
     no id are left out.
     """
-    sizes = document_sizes(docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
+    every = document_sizes(docs).where("doc_id is not null")
+    sizes = cut(every.groupBy("doc_id").agg(F.min("source").alias("source"), F.max("size").alias("size"), F.min("row").alias("row")), "mix-ids")
     chosen = mix(sizes, source_targets(sizes, p), p).join(sizes.select("row", "doc_id"), "row").select(F.col("doc_id").alias("mix_id"), F.col("shard").alias("mix_shard"), F.col("shuffle_key").alias("mix_key"))
     out = docs.join(cut(chosen, "mix-chosen"), F.col("doc_id") == F.col("mix_id"))
     return out.repartition(p.shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_key").select(docs.columns)

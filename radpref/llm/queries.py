@@ -10,6 +10,7 @@ from radpref.llm.common import table
 from radpref.llm.decontamination import contamination_report
 from radpref.llm.lm_scoring import lm_scoring
 from radpref.llm.mixing import mixing_report
+from radpref.llm.near_dedup import NearParams, near_duplicates
 from radpref.llm.quality_rules import quality_rules
 from radpref.llm.token_output import token_output
 from radpref.llm.toxicity import toxicity
@@ -35,12 +36,16 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), NearParams(words=4))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_source_mixing, op4_toxicity, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op10_lm_scoring)
+    f.__name__: f for f in (op3_source_mixing, op4_toxicity, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring)
 }
 
 ORACLES: dict[str, str] = {}
