@@ -28,6 +28,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, lineage cut."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # shuffle files go once it is written
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

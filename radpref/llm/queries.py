@@ -12,6 +12,7 @@ from radpref.llm.lm_scoring import lm_scoring
 from radpref.llm.mixing import mixing_report
 from radpref.llm.near_dedup import NearParams, near_duplicates
 from radpref.llm.quality_rules import quality_rules
+from radpref.llm.suffix_dedup import suffix_dedup
 from radpref.llm.token_output import token_output
 from radpref.llm.toxicity import toxicity
 
@@ -24,6 +25,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,7 +50,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_source_mixing, op4_toxicity, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring)
+    f.__name__: f for f in (op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring)
 }
 
 ORACLES: dict[str, str] = {}
