@@ -13,11 +13,16 @@ from radpref.llm.mixing import mixing_report
 from radpref.llm.near_dedup import NearParams, near_duplicates
 from radpref.llm.pii import pii
 from radpref.llm.quality_rules import quality_rules
+from radpref.llm.secret_scan import secret_scan
 from radpref.llm.suffix_dedup import suffix_dedup
 from radpref.llm.token_output import token_output
 from radpref.llm.toxicity import toxicity
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring)
+    f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring)
 }
 
 ORACLES: dict[str, str] = {}
