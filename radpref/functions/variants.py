@@ -14,8 +14,9 @@ _NUMBER = r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT|BOOLEAN)$"
 
 def parse(text: Column) -> Column:
     """A JSON text as a variant. Blank or bad: null. A text that holds JSON in a JSON string is opened twice."""
-    once = F.try_parse_json(F.nullif(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit("")))
-    return F.when(kind(once) == "STRING", F.try_parse_json(F.try_variant_get(once, "$", "string"))).otherwise(once)
+    bare = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    once = F.try_parse_json(bare)
+    return F.when(bare.startswith('"'), F.try_parse_json(F.try_variant_get(once, "$", "string"))).when(bare != "", once)
 
 
 def kind(v: Column) -> Column:
@@ -44,17 +45,17 @@ def number_at(v: Column, path: str) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    """A non-empty object."""
-    return F.coalesce(kind(v).like("OBJECT<%") & (kind(v) != "OBJECT<>"), F.lit(False))
+    """A non-empty object. Looks one level deep only, as asking a large value for its type would not."""
+    return F.coalesce(F.size(F.try_variant_get(v, "$", "map<string, variant>")) > 0, F.lit(False))
 
 
 def is_array(v: Column) -> Column:
-    return F.coalesce(kind(v).like("ARRAY<%"), F.lit(False))
+    return elements(v).isNotNull()
 
 
 def elements(v: Column) -> Column:
     """The elements of an array, each a variant; null for anything else."""
-    return F.when(is_array(v), F.try_variant_get(v, "$", "array<variant>"))
+    return F.try_variant_get(v, "$", "array<variant>")
 
 
 def truthy(v: Column) -> Column:

@@ -79,14 +79,18 @@ def metrics_struct(rates: dict[str, Column], counts: dict[str, Column], lists: d
         *[f"{t}_{k}_mentions_count" for t in ("generated", "human") for k in ("supported", "unsupported")],
     ]
     names = [f"missed_{k}_{t}" for k in ("findings", "critical") for t in ("generated", "human")]
-    return F.struct(
-        *[rates[k].alias(k) for k in order],
-        *[counts.get(k, zero).cast("long").alias(k) for k in numbers],
-        *[F.coalesce(lists.get(k, empty), empty).alias(k) for k in names],
-        *[F.coalesce(lists.get(k, no_finds), no_finds).alias(k) for k in ("hallucinated_findings_generated", "hallucinated_findings_human")],
-        checks.alias("finding_checks"),
-        composite({k: rates[f"{k}_generated"] for k in WEIGHTS if k != "found"} | {"found": 1.0 - rates["false_negative_rate_generated"]}).alias("clinical_accuracy_score"),
-    )
+    def whole(r: Column) -> Column:
+        return F.struct(
+            *[r[k].alias(k) for k in order],
+            *[counts.get(k, zero).cast("long").alias(k) for k in numbers],
+            *[F.coalesce(lists.get(k, empty), empty).alias(k) for k in names],
+            *[F.coalesce(lists.get(k, no_finds), no_finds).alias(k) for k in ("hallucinated_findings_generated", "hallucinated_findings_human")],
+            checks.alias("finding_checks"),
+            composite({k: r[f"{k}_generated"] for k in WEIGHTS if k != "found"} | {"found": 1.0 - r["false_negative_rate_generated"]}).alias("clinical_accuracy_score"),
+        )
+
+    # rates are worked out once; and readers of single fields find a value here, not a formula to copy
+    return let(F.struct(*[rates[k].alias(k) for k in order]), whole)
 
 
 def summarize(checks: Column, has_generated: Column, has_human: Column) -> Column:
@@ -144,5 +148,5 @@ def _and(*keeps):
 def clinical_accuracy(graded: DataFrame) -> DataFrame:
     """Adds ``clinical_accuracy``; null where nothing can be graded."""
     out = graded.withColumn("checks", F.when(F.col("can_grade"), finding_checks(graded)))
-    result = summarize(F.col("checks"), ~blank(F.col("generated")), ~blank(F.col("human_impression")))
+    result = let(F.col("checks"), lambda c: summarize(c, ~blank(F.col("generated")), ~blank(F.col("human_impression"))))
     return out.withColumn("clinical_accuracy", F.when(F.col("checks").isNotNull(), result))

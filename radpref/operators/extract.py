@@ -79,7 +79,7 @@ def extract(parsed: DataFrame) -> DataFrame:
     return out.withColumns({
         "fallback_used": F.coalesce(F.col("generator_output_source") != "generated_impression", F.lit(False)),
         "findings_text": V.text_at(F.col("inputs"), "source_text.findings_text"),
-        "structured_findings": F.when(V.truthy(V.at(F.col("inputs"), "observation_payload.structured_findings")), V.at(F.col("inputs"), "observation_payload.structured_findings")),
+        "structured_findings": V.at(F.col("inputs"), "observation_payload.structured_findings"),
         "projection": V.text_at(F.col("case"), "exam.projection"),
         "agent_latency_ms": milliseconds("agent_latency_ms", "generation_ms"),
         "eval_latency_ms": milliseconds("eval_latency_ms", "evaluation_ms"),

@@ -7,12 +7,14 @@ events are kept, with empty metrics.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from radpref.functions import variants as V
+from radpref.functions.text import let
 from radpref.operators.clinical import clinical_accuracy, with_sentences
 from radpref.operators.extract import extract, findings, parse_payload
 from radpref.operators.feedback import SKIP_NOTE, estimated_cost, human_feedback, readiness, reward_label
@@ -36,9 +38,19 @@ class Settings:
         return Settings(mode=os.environ.get("CLINICAL_ACCURACY_MODE", "python").strip().lower(), provider=os.environ.get("LLM_PROVIDER", "vertexai"))
 
 
+def counted(df: DataFrame, name: str, **counts: Column) -> DataFrame:
+    """``df`` with counts that listeners get with each action, under a name of this call's own.
+
+    It also keeps what is above apart from what is below: a filter on a metric is then tested on the
+    metric, not on a copy of all the formulas that lead to it.
+    """
+    return df.observe(f"{name}-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in counts.items()])
+
+
 def prepare(events: DataFrame) -> DataFrame:
     """Events with everything extracted and split that grading needs."""
-    return with_sentences(findings(extract(parse_payload(to_events(events)))))
+    parsed = counted(parse_payload(to_events(events)), "parsed", skipped=F.col("is_skipped"), payload_failed=F.col("payload_failed"))
+    return counted(with_sentences(findings(extract(parsed))), "prepared", gradable=F.col("can_grade"), without_prompt=F.col("prompt_text").isNull())
 
 
 def grade(prepared: DataFrame, settings: Settings = Settings(), answers: DataFrame | None = None) -> DataFrame:
@@ -133,7 +145,10 @@ def curate(events: DataFrame, settings: Settings = Settings(), answers: DataFram
     if settings.strict:
         error = F.when(wrong.isNotNull(), F.raise_error(wrong).cast("string")).otherwise(error)
     keep = ["request_id", "event_id", "tenant_id", "site_id", "decision", "disposition", "actual_route", "expected_route", "actual_scope_key", "expected_scope_key", "modality", "body_part"]
-    return g.select(*keep, response.alias("response"), F.coalesce(error, none).alias("error"))
+    # worked out once a row, whichever and however many of its fields are read later
+    whole = let(F.col("request_id"), lambda _: response)
+    out = g.select(*keep, whole.alias("response"), F.coalesce(error, none).alias("error"))
+    return counted(out, "curated", dpo_ready=F.col("response.readiness.is_dpo_ready"), errors=F.col("error").isNotNull())
 
 
 def flatten(curated: DataFrame, created_at: Column | None = None) -> DataFrame:
