@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +56,18 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about so many bytes of text; a longer text is a part of its own."""
+    start = have = 0
+    for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        if i > start and have + (n or 0) > size:
+            yield batch.slice(start, i - start)
+            start, have = i, 0
+        have += n or 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id's decimal text, modulo ``folds``, is ``fold``; a null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(True))
@@ -60,3 +75,14 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def thinned(df: DataFrame, want: int, seed: int, *key: str) -> DataFrame:
+    """About twice ``want`` rows, or all if there are no more, by a hash of the key.
+
+    Picking ``want`` of these by an order costs each task, and whoever merges the tasks, no more than that,
+    however many rows and tasks there are.
+    """
+    n = df.count()
+    share = min(1.0, (2 * want + 100) / n) if n else 1.0
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 40)) < int(share * (1 << 40))) if share < 1 else df
