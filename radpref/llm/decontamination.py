@@ -101,7 +101,7 @@ def benchmark_word_counts(docs: DataFrame, windows: Windows) -> np.ndarray:
                 counts.update(w for w in words_of(t.as_buffer().to_pybytes()) if w in vocab)
         yield pa.RecordBatch.from_arrays([pa.array([vocab[w] for w in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
 
-    rows = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    rows = docs.select(text_or_empty().cast("binary").alias("text")).mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
     out = np.zeros(len(windows.vocab), np.int64)
     for r in rows.collect():  # a row for each word of one part
         out[r["word"]] = r["c"]
