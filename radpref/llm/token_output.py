@@ -1,8 +1,8 @@
 """Token ids in Arrow stream files of fixed-size-list batches.
 
 A file holds the ids of consecutive documents, each followed by the end id, cut into rows of equal length:
-``ids: fixed_size_list<uint16 or uint32>[row_length]`` and ``mask: fixed_size_list<uint8>[row_length]``, the
-mask 0 only on what fills up the file's last row. All batches but the last have the same number of rows, and
+``ids: fixed_size_list<uint16 or uint32>[row_length]`` and ``mask: fixed_size_list<bool>[row_length]``, the
+mask false only on what fills up the file's last row. All batches but the last have the same number of rows, and
 nothing is compressed, so token k of a file lies at a known place, and a memory-mapped file gives any
 sequence without a copy. Beside it, an index file has each document's first token and number of tokens.
 Files follow one another by ascending document id.
@@ -11,9 +11,11 @@ Files follow one another by ascending document id.
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +24,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from radpref.llm.common import cut, shared_dir, small_batches, text_or_empty
 
@@ -30,7 +32,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 ROW_LENGTH = 2048
 ROWS_PER_BATCH = 256
-_CACHE = 500_000
+#: Words that a Python worker keeps ids of.
+_CACHE = 600_000
 _STOPS = {b".", b","}
 
 
@@ -38,41 +41,79 @@ def stored_as(vocabulary: int) -> np.dtype:
     return np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
 
+def letters_only(word: bytes) -> bool:
+    """Whether a word is letters before and after its case is folded."""
+    return word.isalpha() or (not word.isascii() and (t := word.decode()).isalpha() and t.lower().isalpha())
+
+
+def is_plain(word: bytes) -> bool:
+    """Whether a word of letters is in lower case and composed form already."""
+    return word.isascii() and word.islower() or ((t := word.decode()).lower() == t and unicodedata.is_normalized("NFC", t))
+
+
 class WordEncoder:
     """Ids of whole texts, by words: this tokenizer's tokens never cross white space, and words come again.
 
-    A word's ids are kept (for so many words; then afresh) as bytes ready to be joined. ASCII letters with
-    one full stop or comma behind them are two tokens' worth that never join, so they share an entry with
-    the bare word. Case of ASCII letters is folded by the tokenizer itself, hence by the key too. A word
-    that may hold a special token's name is left as it is.
+    A word's ids are kept as bytes ready to be joined. Once there are too many, only words of the last two
+    batches stay: those that are common. Letters with one full stop or comma behind them are two
+    pieces that never join, so they share the work of the bare word; the tokenizer folds case. A word
+    that may hold a special token's name is left as it is. Words of letters alone are encoded many at a
+    time, and told apart by the ids that end a word.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        # plain words are as the normalizer would leave them, and one piece each: the same merges without those steps
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.dtype = stored_as(self.tokenizer.get_vocab_size())
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[k for t, k in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
-        self.stop = {s: self._encode([s])[0] for s in _STOPS}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        self.last: set[bytes] = set()
+        self.stop = {s: self._each([s.decode()])[0] for s in _STOPS}
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _together(self, words: list[str], plain: bool) -> list[bytes]:
+        """Of words of letters only, which are one piece each; ``plain``: as :func:`is_plain` says."""
+        out: list[bytes] = []
+        tokenizer = self.plain if plain else self.tokenizer
+        groups = [words[i : i + 200] for i in range(0, len(words), 200)]
+        for group, x in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(x.ids, self.dtype)
+            edges = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(edges) != len(group):
+                out += self._each(group)
+                continue
+            raw, n = ids.tobytes(), self.dtype.itemsize
+            out += [raw[a * n : b * n] for a, b in zip([0, *edges], edges, strict=False)]
+        return out
 
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self.known)
         if len(self.known) + len(new) > _CACHE:
-            self.known.clear()
-            new = words
+            self.known = {w: self.known[w] for w in words & self.last if w in self.known}
+            new = words.difference(self.known)
+        self.last = words
         bare: dict[bytes, list[bytes]] = {}
         for w in new:
-            stem = w[:-1] if w[-1:] in _STOPS and w[:-1].isalpha() else w
+            stem = w[:-1] if w[-1:] in _STOPS and letters_only(w[:-1]) else w
             bare.setdefault(stem if b"<" in stem else stem.lower(), []).append(w)
-        keys = list(bare)
-        for i in range(0, len(keys), 20_000):
-            part = keys[i : i + 20_000]
-            for k, ids in zip(part, self._encode(part), strict=True):
-                for w in bare[k]:
-                    self.known[w] = ids if len(w) == len(k) else ids + self.stop[w[-1:]]
+        plain, letters, others = [], [], []
+        for k in bare:
+            (others if not letters_only(k) else plain if is_plain(k) else letters).append(k)
+        ways = ((plain, lambda x: self._together(x, True)), (letters, lambda x: self._together(x, False)), (others, self._each))
+        for keys, encode in ways:
+            for i in range(0, len(keys), 20_000):
+                part = keys[i : i + 20_000]
+                for k, ids in zip(part, encode([x.decode() for x in part]), strict=True):
+                    for w in bare[k]:
+                        self.known[w] = ids if len(w) == len(k) else ids + self.stop[w[-1:]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
@@ -80,6 +121,12 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, ws)) for ws in split]
 
 
+@lru_cache(2)
+def encoder_of(path: str) -> WordEncoder:
+    """One for each Python worker, whatever number of tasks it runs."""
+    return WordEncoder(path)
+
+
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
 
@@ -93,15 +140,15 @@ class SequenceWriter:
         self.part = f"{self.path}.{uuid.uuid4().hex}"  # an attempt of its own: a lost task's file is never read
         self.sink = self.fs.open_output_stream(self.part)
         self.row_length, self.full, self.dtype = row_length, row_length * rows_per_batch, dtype
-        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), row_length)), ("mask", pa.list_(pa.uint8(), row_length))], {"row_length": str(row_length), "rows_per_batch": str(rows_per_batch)})
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), row_length)), ("mask", pa.list_(pa.bool_(), row_length))], {"row_length": str(row_length), "rows_per_batch": str(rows_per_batch)})
         self.out = pa.ipc.new_stream(self.sink, self.schema)
         self.rest = np.zeros(0, dtype)
         self.n = 0
 
     def _batch(self, ids: np.ndarray) -> None:
         rows = -(-len(ids) // self.row_length)
-        mask = np.zeros(rows * self.row_length, np.uint8)
-        mask[: len(ids)] = 1
+        mask = np.zeros(rows * self.row_length, bool)
+        mask[: len(ids)] = True
         ids = np.concatenate((ids, np.zeros(len(mask) - len(ids), self.dtype)))
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.row_length) for x in (ids, mask)]
         self.out.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
@@ -122,7 +169,7 @@ class SequenceWriter:
 
 
 class SequenceReader:
-    """Random access to one file. On a local file everything is a view of the mapped file."""
+    """Random access to one file. On a local file ids are views of the mapped file; masks are bits, unpacked when asked for."""
 
     def __init__(self, uri: str):
         fs, path = _open(uri)
@@ -135,7 +182,7 @@ class SequenceReader:
     def row(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Sequence k: its ids and its mask."""
         batch, at = self.batches[k // self.rows_per_batch], k % self.rows_per_batch
-        return tuple(batch.column(c)[at].values.to_numpy(zero_copy_only=True) for c in ("ids", "mask"))
+        return batch.column("ids")[at].values.to_numpy(zero_copy_only=True), batch.column("mask")[at].values.to_numpy(zero_copy_only=False)
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         """Tokens from ``start`` on, across rows and batches; without a copy if they lie in one batch."""
@@ -161,7 +208,7 @@ def write_sequences(docs: DataFrame, out_dir: str, tokenizer: str | None = None,
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = WordEncoder(path)
+                encoder = encoder_of(path)
                 writer = SequenceWriter(uri, encoder.dtype, row_length)
                 end = np.array([end_id], encoder.dtype).tobytes()
                 fs, at = _open(f"{uri}.index")
