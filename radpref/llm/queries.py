@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from radpref.llm.common import table
 from radpref.llm.decontamination import contamination_report
@@ -44,7 +45,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents")).withColumn("host_rate", F.round("host_rate", 6))
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +64,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring)
 }
 
-ORACLES: dict[str, str] = {}
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORD = r"[^\x20\x09-\x0D]"
+
+ORACLES: dict[str, str] = {
+    "op6_benchmark_decontamination": f"""
+WITH w AS (SELECT doc_id, {_ITEM_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {_ITEM_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+item AS (SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS s
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(ws) - 9))) AS i FROM b WHERE len(ws) > 0)),
+doc AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM w, (SELECT DISTINCT n FROM item) WHERE len(ws) >= n)),
+hit AS (SELECT DISTINCT doc_id, i, n, item_id FROM doc JOIN item USING (n, s)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY 1),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS x FROM hit) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op7_quality_rules": f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 7)) AS i FROM d WHERE len(ws) >= 8)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS k FROM win) WHERE k > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM twice) GROUP BY 1),
+lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT l) AS dup FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '{_WORD}') GROUP BY 1),
+f AS (SELECT d.doc_id, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+  coalesce(lines.dup, 0) AS n_dup_lines, coalesce(lines.n, 0) AS n_lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines AS failed FROM f),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE failed) AS k FROM r GROUP BY 1),
+m AS (SELECT sum(k) / sum(n)::double AS mean, sum(n)::double AS n, count(*) AS h, sum(k * k / n::double) AS kk FROM h),
+b AS (SELECT mean, greatest(kk / n - mean * mean - mean * (1 - mean) * h / n, 0.0::double) AS between_hosts FROM m),
+prior AS (SELECT mean, CASE WHEN between_hosts > 0 THEN least(greatest(mean * (1 - mean) / between_hosts - 1, 1.0), 1e6) ELSE 1e6 END AS strength FROM b),
+rate AS (SELECT source AS host, (k + mean * strength) / (n + strength) AS rate FROM h, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept, round(rate, 6) AS host_rate
+FROM r JOIN rate ON source IS NOT DISTINCT FROM host""",
+}
