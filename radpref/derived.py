@@ -86,7 +86,9 @@ def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("reward").cast("double").alias("score"), F.col("send").alias("send_to_curator")).alias("reward_signal"),
         F.struct(F.when(F.col("path") == 0, 0).otherwise(F.col("o_orderkey") % 100).alias("agent_latency_ms"), F.lit(7.5).alias("generation_ms")).alias("timing"),
     ))
-    return both.select(
+    # few bytes a row, but much work: left to itself, Spark would put small tables into one task
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return both.repartition(parts, "o_orderkey").select(
         "request_id",
         F.lit(None).cast("string").alias("event_id"),
         "tenant_id",
