@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radpref.llm.common import cut, small_batches, text_or_empty
+from radpref.llm.common import cut, slices, small_batches, text_or_empty
 from radpref.llm.components import components
 
 
@@ -42,7 +42,7 @@ class NearParams:
 
 _GOLD, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_WORD_CACHE = 400_000
+_WORD_CACHE = 250_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -120,8 +120,7 @@ def sketches(docs: DataFrame, p: NearParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(p.words)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
+            for part in slices(batch, "text", 1 << 20):
                 sets = [shingler(t.as_buffer().to_pybytes()) for t in part.column("text")]
                 n = np.fromiter(map(len, sets), np.int64, len(sets))
                 full = [s for s in sets if len(s)]
