@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from radpref.llm.common import held_out, small_batches, text_or_empty
+from radpref.llm.common import held_out, small_batches, text_or_empty, thinned
 
 #: ASCII that separates words becomes a blank and A-Z becomes a-z; bytes of other letters stay.
 _FOLD = bytes(
@@ -179,7 +179,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, p: ToxicityParams = Toxi
     """``text, toxic`` of at most ``max_docs`` rows a class, by a hash of the id; held-out ids stay out."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64(F.col("doc_id").cast("string"), F.lit(p.seed)), F.col("doc_id")]
-    sample = known.where("toxic = 1").orderBy(*order).limit(p.max_docs).unionAll(known.where("toxic = 0").orderBy(*order).limit(p.max_docs))
+    sides = [thinned(known.where(F.col("toxic") == y), p.max_docs, p.seed, "doc_id").orderBy(*order).limit(p.max_docs) for y in (1, 0)]
+    sample = sides[0].unionAll(sides[1])
     body = docs.where(F.octet_length("text") <= p.max_bytes).select("doc_id", "text")
     return body.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
 
@@ -199,11 +200,11 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         for batch in batches:
             texts = [words_of(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in batch.column("toxic_score_text")]
             new = list({w for t in texts for w in t}.difference(cache))
-            if len(cache) + len(new) > 400_000:  # bounded; words seen again are scored again
+            if len(cache) + len(new) > 200_000:  # bounded; words seen again are scored again
                 cache.clear()
                 new = list({w for t in texts for w in t})
-            for i in range(0, len(new), 50_000):
-                part = new[i : i + 50_000]
+            for i in range(0, len(new), 20_000):
+                part = new[i : i + 20_000]
                 cache.update(zip(part, m.word_scores(part).tolist(), strict=True))
             scores = [m.document_score(np.fromiter(map(cache.__getitem__, t), np.float64, len(t))) for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=out.names)
