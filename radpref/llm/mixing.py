@@ -12,7 +12,7 @@ and shuffles them locally.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,13 +23,17 @@ from radpref.llm.quality_rules import let
 
 @dataclass(frozen=True)
 class MixParams:
-    """``block_words`` None: a document is one block, taken whole. ``shards`` is a power of two."""
+    """``block_words`` None: a document is one block, taken whole. ``shards`` is a power of two.
+
+    With ``shard_words`` there are as many shards more as it takes for each to hold about so many words.
+    """
 
     weights: tuple[int, ...] = (3, 1, 2)
     share: float = 1.5
     max_repeats: int = 2
     block_words: int | None = 1024
     shards: int = 32
+    shard_words: int | None = None
     seed: int = 20
     bucket_rows: int = 100_000
 
@@ -148,11 +152,25 @@ def ordered_blocks(sizes: DataFrame, targets: DataFrame, p: MixParams) -> DataFr
     return out.select("row", "source_no", "block", "words", (F.col("place") + F.col("n_up")).alias("place"), (F.col("words_before") + F.col("w_up")).alias("words_before"))
 
 
+def shards_for(targets: DataFrame, p: MixParams) -> int:
+    total = targets.agg(F.sum("target")).first()[0] or 0.0
+    return max(p.shards, 1 << math.ceil(math.log2(max(1.0, total / p.shard_words)))) if p.shard_words else p.shards
+
+
+def shard_of(rank: Column, shards: int) -> Column:
+    """Whose run of a source's blocks a rank falls in: first among every so many of the bounds, then among those between."""
+    step = 1 << (int(math.log2(shards)) // 2)
+    upto = lambda bounds, r: F.size(F.filter(bounds, lambda b: b <= r))
+    coarse = lambda r: F.least(F.lit(shards // step - 1), upto("coarse_bounds", r)) * step
+    return let(rank, lambda r: let(coarse(r), lambda k: k + upto(F.slice("bounds", k + 1, step), r)))
+
+
 def mix(sizes: DataFrame, targets: DataFrame, p: MixParams = MixParams()) -> DataFrame:
     """``row, source_no, block, epoch, first_word, taken, shard, shuffle_key``: the blocks of the mix.
 
     Order a shard's blocks by ``shuffle_key`` for its local shuffle.
     """
+    p = replace(p, shards=shards_for(targets, p))
     placed = cut(ordered_blocks(sizes, targets, p), "mix-blocks")
     goal = targets.select("source_no", "source_size", F.rint("target").cast("long").alias("goal"))
     wide = placed.join(goal, "source_no")
@@ -163,9 +181,12 @@ def mix(sizes: DataFrame, targets: DataFrame, p: MixParams = MixParams()) -> Dat
     taken = wide.select("row", "source_no", "block", "place", F.posexplode(takes).alias("epoch", "taken"))
     counts = placed.groupBy("source_no").agg(F.count("*").alias("n"))
     quotas = taken.groupBy("source_no").agg(F.count("*").alias("blocks"))
-    bounds = cut(splitting_tree(quotas, p).join(counts, "source_no"), "mix-bounds")  # a row for each source
+    step = 1 << (int(math.log2(p.shards)) // 2)
+    coarse = F.transform(F.sequence(F.lit(step), F.lit(p.shards), F.lit(step)), lambda i: F.get("bounds", i - 1))
+    bounds = splitting_tree(quotas, p).join(counts, "source_no").withColumn("coarse_bounds", coarse)
+    bounds = cut(bounds, "mix-bounds")  # a row for each source
     rank = F.col("epoch") * F.col("n") + F.col("place")
-    shard = let(rank, lambda r: F.size(F.filter("bounds", lambda b: b <= r)))
+    shard = shard_of(rank, p.shards)
     key = F.xxhash64(F.lit(p.seed + 1), "shard", "source_no", "place", "epoch")
     first = F.col("block") * (p.block_words or 0)
     return taken.join(bounds, "source_no").withColumn("shard", shard).select("row", "source_no", "block", "epoch", first.alias("first_word"), "taken", "shard", key.alias("shuffle_key"))
@@ -184,7 +205,7 @@ def mixing_report(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
     return known.join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "shards")
 
 
-def mixed_documents(docs: DataFrame, p: MixParams = MixParams(block_words=None)) -> DataFrame:
+def mixed_documents(docs: DataFrame, p: MixParams = MixParams(block_words=None, shard_words=8_000_000)) -> DataFrame:
     """The documents themselves, as often as the mix takes them, dealt to shards and shuffled within them.
 
     Ids are taken to be of one document each; rows that share one are taken equally often. Documents of
@@ -192,6 +213,8 @@ def mixed_documents(docs: DataFrame, p: MixParams = MixParams(block_words=None))
     """
     every = document_sizes(docs).where("doc_id is not null")
     sizes = cut(every.groupBy("doc_id").agg(F.min("source").alias("source"), F.max("size").alias("size"), F.min("row").alias("row")), "mix-ids")
-    chosen = mix(sizes, source_targets(sizes, p), p).join(sizes.select("row", "doc_id"), "row").select(F.col("doc_id").alias("mix_id"), F.col("shard").alias("mix_shard"), F.col("shuffle_key").alias("mix_key"))
+    targets = source_targets(sizes, p)
+    p = replace(p, shards=shards_for(targets, p), shard_words=None)
+    chosen = mix(sizes, targets, p).join(sizes.select("row", "doc_id"), "row").select(F.col("doc_id").alias("mix_id"), F.col("shard").alias("mix_shard"), F.col("shuffle_key").alias("mix_key"))
     out = docs.join(cut(chosen, "mix-chosen"), F.col("doc_id") == F.col("mix_id"))
     return out.repartition(p.shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_key").select(docs.columns)

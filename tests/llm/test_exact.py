@@ -182,7 +182,19 @@ def test_mix_deals_blocks_once(spark, frame):
     assert len(set(keys)) == len(keys)
     count = np.bincount([r["shard"] for r in rows], minlength=16)
     assert count.max() - count.min() <= 4 and len(count) == 16  # halves of halves
-    assert mixed_documents(frame).columns == frame.columns
+    assert mixed_documents(frame, MixParams(block_words=None, shard_words=100)).columns == frame.columns
+
+
+def test_shard_of_a_rank(spark):
+    from radpref.llm.mixing import shard_of
+
+    bounds = [0, 3, 3, 5, 9, 9, 12, 20]
+    for shards in (2, 4, 8):
+        part = bounds[:shards]
+        step = 1 << ((shards.bit_length() - 1) // 2)
+        rows = [(r, part, part[step - 1 :: step]) for r in range(part[-1])]
+        got = spark.createDataFrame(rows, "r long, bounds array<long>, coarse_bounds array<long>").select("r", shard_of(F.col("r"), shards).alias("s")).collect()
+        assert {x["r"]: x["s"] for x in got} == {r: sum(b <= r for b in part) for r in range(part[-1])}
 
 
 def test_ids_of_unsigned_crc(spark):
