@@ -95,14 +95,13 @@ class ToxicityModel:
         return np.add.reduceat(self.bucket[ids], starts) / np.diff(np.append(starts, len(ids)))
 
     def document_score(self, values: np.ndarray) -> float:
-        """Probability of label 1 in the worst passage; passages overlap by half. No words: the bias alone."""
+        """Probability of label 1 in the worst passage; one starts at every word, as in training. No words: the bias alone."""
         p = self.params
         if len(values) <= p.passage:
             top = float(values.mean()) if len(values) else 0.0
         else:
             total = np.concatenate(([0.0], np.cumsum(values)))
-            at = np.append(np.arange(0, len(values) - p.passage, p.passage // 2), len(values) - p.passage)
-            top = float((total[at + p.passage] - total[at]).max() / p.passage)
+            top = float((total[p.passage :] - total[: -p.passage]).max() / p.passage)
         return float(1 / (1 + np.exp(-np.clip(top + self.bias, -30, 30))))
 
 

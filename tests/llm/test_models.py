@@ -58,6 +58,23 @@ def test_toxicity(spark, labelled):
     assert all(abs(again[k] - r["score"]) < 1e-9 for k, r in got.items())
 
 
+def test_toxicity_scores_every_passage():
+    p = X.ToxicityParams()
+    model = X.ToxicityModel(np.zeros(p.buckets), -1.5, p)
+    values = np.zeros(40)
+    for at in range(37):
+        bad = values.copy()
+        bad[at : at + 4] = 2.0
+        assert model.document_score(bad) == pytest.approx(1 / (1 + np.exp(-0.5))), at
+    r = np.random.default_rng(3)
+    for n in (4, 5, 6, 7, 50):
+        v = r.normal(size=n)
+        top = max(v[i : i + 4].mean() for i in range(n - 3))
+        assert model.document_score(v) == pytest.approx(1 / (1 + np.exp(1.5 - top)))
+        a = X.worst(v, 4)
+        assert v[a : a + 4].mean() == pytest.approx(top)  # what training picks is what is scored
+
+
 PRIVATE = [
     None,
     "",
