@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radpref.derived import ITEMS, REQUESTS, derived_events, derived_judgments
@@ -92,16 +92,25 @@ def feedback_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hf.select("request_id", "hf.*")
 
 
-def conversation_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edit distance of each turn and the one before it, on the ASCII part of the texts."""
+def _turn_edits(spark: SparkSession, sf_dir: str, part: Callable[[Column], Column]) -> DataFrame:
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet").groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
-    plain = T.normalize_for_distance(F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x20-\x7E]", ""))
+    plain = T.normalize_for_distance(part(F.coalesce("text", F.lit(""))))
     now = c.select("conv_id", "turn", plain.alias("now"))
     before = now.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("now").alias("before"))
     distance, share = edit_distance(F.col("before"), F.col("now"))
     return now.join(before, ["conv_id", "turn"]).select("conv_id", "turn", distance.alias("distance"), share.alias("share"))
 
 
+def conversation_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit distance of each turn and the one before it, on the ASCII part of the texts: all that DuckDB's bytewise distance can check."""
+    return _turn_edits(spark, sf_dir, lambda text: F.regexp_replace(text, r"[^\x20-\x7E]", ""))
+
+
+def conversation_edits_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit distance of each turn and the one before it, over the code points of the whole texts."""
+    return _turn_edits(spark, sf_dir, lambda text: text)
+
+
 def training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt, chosen and rejected of all requests ready for training."""
     return training_records(flatten(curate(derived_events(spark, sf_dir))))
@@ -141,6 +150,9 @@ def streamed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, conversation_edits, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output)}
 
+#: Without SQL: DuckDB's levenshtein counts bytes, not code points.
+NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits_whole,)}
+
 # --- the same in DuckDB's SQL ---
 
 _NEGATED = r"regexp_matches(s, '(^|[^\p{L}\p{N}_])(" + "|".join(T.NEGATIONS) + r")($|[^\p{L}\p{N}_])')"
