@@ -30,10 +30,9 @@ _PLACEHOLDER = r"(?i)(example|placeholder|xxxx|0000000|1234567|your[_-])"
 
 @dataclass(frozen=True)
 class SecretParams:
-    """At most ``max_labels`` findings of each label are learnt from; ``dictionary`` words of a sample of ``max_docs`` texts cover candidates."""
+    """At most ``max_labels`` findings of each label are learnt from; the ``dictionary`` commonest words cover candidates."""
 
     max_labels: int = 2000
-    max_docs: int = 2000
     dictionary: int = 200
     neighbours: int = 128
     trees: int = 20
@@ -83,9 +82,8 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame, p: SecretParams) -> list[str]:
-    """The commonest words of three to eight ASCII letters in a bounded sample of texts."""
-    some = thinned(docs, p.max_docs, p.seed, "doc_id").where("text is not null").orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(p.seed))).limit(p.max_docs).select("text")
-    words = some.select(F.explode(F.split(F.lower("text"), SPACES)).alias("w")).where(F.col("w").rlike("^[a-z]{3,8}$"))
+    """The commonest words of three to eight ASCII letters in all texts."""
+    words = docs.select(F.explode(F.split(F.lower("text"), SPACES)).alias("w")).where(F.col("w").rlike("^[a-z]{3,8}$"))
     return [r["w"] for r in words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(p.dictionary).collect()]
 
 
@@ -116,8 +114,16 @@ def stages(p: SecretParams) -> tuple[HashingTF, VectorAssembler]:
     return HashingTF(numFeatures=p.neighbours, binary=True, inputCol="near", outputCol="near_hash"), VectorAssembler(inputCols=[*names, "near_hash"], outputCol="features")
 
 
+def distinct_findings(labelled: DataFrame) -> DataFrame:
+    """One row for each label and (value, before, after): copies under other ids or paths count once."""
+    key = ["label", "value", "before", "after"]
+    rest = F.struct(*[c for c in labelled.columns if c not in key])
+    return labelled.groupBy(*key).agg(F.min_by(rest, F.coalesce("path", F.lit(""))).alias("rest")).select(*key, "rest.*")
+
+
 def train(labelled: DataFrame, p: SecretParams = SecretParams()) -> PipelineModel | float:
     """A forest from rows of :func:`features` with ``label``; of one label only, that label's number."""
+    labelled = cut(distinct_findings(labelled), "distinct-findings")
     order = F.xxhash64("value", "before", F.lit(p.seed))
     sides = [thinned(labelled.where(F.col("label") == y), p.max_labels, p.seed, "value", "before", "after").orderBy(order, "value", "before", "after").limit(p.max_labels) for y in (0.0, 1.0)]
     sample = cut(sides[0].unionByName(sides[1]), "labelled-findings")

@@ -155,6 +155,26 @@ def test_secrets(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_secret_statistics_are_of_all_rows(spark):
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 4000, "often again").otherwise("again " + "seldom " * 3).alias("text"))
+    assert S.dictionary(docs.where("doc_id >= 3999 or doc_id < 2500"), S.SecretParams(dictionary=3)) == ["seldom", "again", "often"]
+    late = docs.where("doc_id < 4000").unionByName(spark.createDataFrame([(9000 + i, "rare " * 3000) for i in range(2)], "doc_id long, text string"))
+    assert S.dictionary(late, S.SecretParams(dictionary=1)) == ["rare"]  # in two documents of 4,002
+    # 9,000 copies of one finding under a label: the others of that label are learnt from all the same
+    p = S.SecretParams(max_labels=50, trees=3)
+    found = spark.range(9300).select(
+        F.col("id").alias("doc_id"), F.lit("p").alias("path"), F.lit(0).alias("start"), F.lit(40).alias("end"),
+        F.when(F.col("id") < 9000, F.sha1(F.lit("copy"))).otherwise(F.sha1(F.col("id").cast("string"))).alias("value"),
+        F.when((F.col("id") < 9000) | (F.col("id") % 2 == 0), 'token = "').otherwise("commit ").alias("before"), F.lit(" x").alias("after"),
+        ((F.col("id") < 9000) | (F.col("id") % 2 == 0)).cast("double").alias("label"),
+    )
+    model = S.train(S.features(found, ["the"], p), p)
+    assert not isinstance(model, float)
+    seen = model.transform(S.features(found.where("doc_id >= 9000"), ["the"], p))
+    assert seen.where("prediction = label").count() > 290
+    assert S.distinct_findings(found).count() == 301
+
+
 TEXTS = [None, "", " ", "Don't stop’s it's 3.14 abc123 x<|endoftext|>y", "İstanbul ÉCOLE école. ǅ ﬁne é ́x ١٢ 漢字。", "a.b. c,, .. , . A. É. “q”  b c", "'s 't don't. a'll, l'été.", "word " * 5000, "Ωmega ΣΑΣ. ß ẞ, ..", "tab\tnew\nline\x0bform\x0cfeed\x1cfs"]
 
 
