@@ -20,11 +20,20 @@ from radpref.llm.common import SPACES, cut, thinned
 from radpref.llm.quality_rules import let
 
 _CHARS = "[A-Za-z0-9+/_=-]"
-#: Runs of 16 characters or more with a digit among them, and heads of private keys.
-CANDIDATE = rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----|(?<!{_CHARS})(?=[A-Za-z+/_=-]*[0-9]){_CHARS}{{16,}}+"
+_NAME = r"(?:token|secret|passw|passphrase|key|auth(?!ors?\b)|credential)[a-z0-9_-]{0,20}[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
 #: What stands before the value of a named secret.
-NAMED = r"(?i)(token|secret|passw|passphrase|key|auth|credential)[a-z0-9_-]{0,20}[\"']?\s{0,3}[=:]\s{0,3}[\"']?$"
+NAMED = rf"(?i){_NAME}$"
+_VALUE = r"[^\s\"'`]"
+_AFTER_NAME = rf"(?<=[=:]\s{{0,3}}[\"']?)(?<=(?i:{_NAME}))(?![=:])"
+#: Heads of private keys; named values with a mark after or within a run; runs of 16 characters or more with a digit
+#: among them, without a name before the value; other named values of six characters or more, up to a blank or quote.
+CANDIDATE = (
+    rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----|{_AFTER_NAME}(?={_VALUE}{{6}}){_CHARS}*+[!@#$%^*~]{_VALUE}*+"
+    rf"|(?:(?<!{_CHARS})|{_AFTER_NAME})(?!(?i:[a-z0-9_-]{{0,40}}?{_NAME}){_VALUE}{{6}})(?=[A-Za-z+/_=-]*[0-9]){_CHARS}{{16,}}+"
+    rf"|{_AFTER_NAME}{_VALUE}{{6,}}(?<![,;.)\]}}>])"
+)
 PREFIXES = {"private key": r"^-----BEGIN", "cloud key": r"^(AKIA|ASIA)[A-Z0-9]{16}$", "repository token": r"^gh[pousr]_[A-Za-z0-9]{30,}$", "signed token": r"^eyJ[A-Za-z0-9_-]{10,}"}
+_PASSWORD = r"(?i)(passw|passphrase|secret|credential)[a-z0-9_-]{0,20}[\"']?\s{0,3}[=:]\s{0,3}[\"']?$"
 _PLACEHOLDER = r"(?i)(example|placeholder|xxxx|0000000|1234567|your[_-])"
 
 
@@ -47,7 +56,7 @@ def findings(docs: DataFrame, p: SecretParams = SecretParams(), path: str = "sou
     Offsets are in code points, end exclusive. A null text has none.
     """
     text = F.col("text")
-    some = docs.where(text.rlike("[0-9]|PRIVATE KEY"))
+    some = docs.where(text.rlike("[0-9=:]|PRIVATE KEY"))
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     gaps = F.split(text, CANDIDATE, -1)
 
@@ -76,8 +85,12 @@ def kind() -> Column:
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Labelled findings for want of better ones: 1 where a named value or a known form stands, 0 elsewhere and for placeholders."""
-    real = F.col("kind").isin("named", *PREFIXES) & ~F.col("value").rlike(_PLACEHOLDER)
+    """Labelled findings for want of better ones: 1 where a named value or a known form stands, 0 elsewhere and for placeholders.
+
+    A named value of letters alone, as prose has them after a colon, is 1 only with capitals within or the name of a password.
+    """
+    plain = F.col("value").rlike(r"^[\p{L}'’-][\p{Ll}'’-]*$") & ~F.col("before").rlike(_PASSWORD)
+    real = (F.col("kind").isin(*PREFIXES) | ((F.col("kind") == "named") & ~plain)) & ~F.col("value").rlike(_PLACEHOLDER)
     return found.withColumn("label", real.cast("double"))
 
 

@@ -155,6 +155,30 @@ def test_secrets(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_named_secrets_of_any_form(spark):
+    texts = {
+        'password = "hunter2!" x': ["hunter2!"],
+        "passphrase=CorrectHorseBattery now": ["CorrectHorseBattery"],
+        "api_key: p@ss.w%rd/é$ x": ["p@ss.w%rd/é$"],
+        "secret='abcdefgh12345678!xyz'": ["abcdefgh12345678!xyz"],
+        "password=hunter2hunter2hunter2": ["hunter2hunter2hunter2"],
+        "the token: Opaque, then": ["Opaque"],
+        "password = short x, no name: whatever1 Author: Somebody": [],
+        'token = "' + "a1" * 10 + '"': ["a1" * 10],
+        "key=abcdef0123456789&user=somebody": ["abcdef0123456789"],
+        "k9" * 12: ["k9" * 12],
+    }
+    docs = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {}
+    for r in S.findings(docs).withColumn("kind", S.kind()).orderBy("doc_id", "start").collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    for i, (t, want) in enumerate(texts.items()):
+        assert [r["value"] for r in got.get(i, [])] == want, t
+        assert all(t[r["start"] : r["end"]] == r["value"] and (r["kind"] == "named") == (t[0] != "k" or "=" in t) for r in got.get(i, []))
+    labels = {r["value"]: r["label"] for r in S.rule_labels(S.findings(docs).withColumn("kind", S.kind())).collect()}
+    assert labels["hunter2!"] == labels["CorrectHorseBattery"] == 1 and labels["Opaque"] == 0
+
+
 def test_secret_statistics_are_of_all_rows(spark):
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 4000, "often again").otherwise("again " + "seldom " * 3).alias("text"))
     assert S.dictionary(docs.where("doc_id >= 3999 or doc_id < 2500"), S.SecretParams(dictionary=3)) == ["seldom", "again", "often"]
