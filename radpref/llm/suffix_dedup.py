@@ -2,25 +2,34 @@
 
 Of the suffixes of all texts only sampled ones are indexed: every stretch of ``length`` bytes holds the
 start of one, chosen by what the stretch holds (its lowest hash of ``gram`` bytes, the first of equals), so
-equal stretches choose alike wherever they stand. An entry keeps the hash of its suffix's first ``gram``
-bytes, by which arrays are ordered, and a hash of all the stretches that chose it: entries alike in both
-are the same passage throughout.
-
-Documents come in batches. A batch's suffix array is merge-scanned, by first bytes, against those of the
-levels that stand; what meets is a candidate for a long match. Then the batch joins the levels, where two
-of equal rank merge into one of the next, so an entry is rewritten once per doubling. Of the candidates,
-entries with an equal twin are repeated throughout; the others, at the edges of passages, are compared
-stretch by stretch with those of the same first bytes.
+equal stretches choose alike wherever they stand. An entry keeps its suffix's first ``gram`` bytes, as
+numbers that order like them, and a 128-bit digest of all the stretches that chose it and of its place in
+them: entries alike in both are the same passage throughout.
+
+Documents come in batches. A batch's entries are sorted together with those of a standing level into one
+suffix array, dealt out by ranges of bytes, so that one passage may fill any number of tasks. The scan
+compares each entry with its neighbours alone: those alike throughout are repeated, and of those that
+share first bytes but not all the rest one of each kind is noted. Levels of equal rank merge with the
+batch into one of the next, so an entry is rewritten once per doubling; higher levels are scanned with
+the batch and stay.
+
+The kinds noted are then compared on both sides of their anchors. The stretches of an entry are dealt to
+cores, bytes that some neighbouring stretches have in common; cores go into a sorted array of their own,
+where one without an equal neighbour rules its stretches out. Stretches left are arrayed once more, whole:
+neighbours that are equal there repeat each other. Every step makes rows in proportion to its input.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +39,16 @@ from radpref.llm.near_dedup import mixed
 
 @dataclass(frozen=True)
 class SuffixParams:
-    """``hot``: keys of more different entries than this are compared by counting stretches, not in one task."""
+    """``batches``: in how many batches a whole table arrives. ``rows``: entries of a sorted array in one task.
+
+    ``core``: as many neighbouring stretches share a core.
+    """
 
     length: int = 200
     gram: int = 32
     batches: int = 4
-    hot: int = 2000
+    core: int = 24
+    rows: int = 500_000
     chunk: int = 1 << 20
 
 
@@ -44,7 +57,7 @@ _R_INVERSE = pow(_R, -1, 1 << 64)
 
 
 class Rolling:
-    """Hashes of any stretch of a byte string: polynomials modulo 2 ** 64, then mixed."""
+    """Hashes of all grams of a byte string: polynomials modulo 2 ** 64, then mixed. They only choose anchors."""
 
     powers = inverses = np.zeros(0, np.uint64)
 
@@ -60,9 +73,6 @@ class Rolling:
         k = max(0, len(self.total) - n)
         return mixed((self.total[n : n + k] - self.total[:k]) * self.inverses[:k])
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.total[end] - self.total[start]) * self.inverses[start])
-
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     have = 1
@@ -73,15 +83,26 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
+def ordered_longs(rows: np.ndarray) -> np.ndarray:
+    """Rows of bytes, eight to a number, as signed numbers that order as the bytes do."""
+    return (rows.view(">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def digests(raw: memoryview, start: np.ndarray, end: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """128 bits of each slice, two numbers a row."""
+    of = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([of(raw[a:b], s) for a, b, s in zip(start.tolist(), end.tolist(), seed.tolist(), strict=True)]), np.int64).reshape(-1, 2)
+
+
 def entries(texts: list[bytes], p: SuffixParams) -> tuple[np.ndarray, ...]:
-    """Of all texts: which text, its first stretch's start, number of stretches, key, hash of the whole."""
+    """Of all texts: which text, its first stretch's start, number of stretches, anchor, first bytes, digest."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
-    raw = np.frombuffer(b"".join(texts), np.uint8)
+    joined = b"".join(texts)
+    raw = np.frombuffer(joined, np.uint8)
     none = np.zeros(0, np.int64)
     if len(raw) < p.length:
-        return none, none, none, none, none
-    rolling = Rolling(raw)
-    gram = rolling.every(p.gram)
+        return none, none, none, none, none.reshape(0, 4), none.reshape(0, 2)
+    gram = Rolling(raw).every(p.gram)
     low = np.uint64((1 << 24) - 1)
     best = sliding_min((gram & ~low) | np.arange(len(gram), dtype=np.uint64), p.length - p.gram + 1) & low
     end = np.cumsum(size)
@@ -90,13 +111,15 @@ def entries(texts: list[bytes], p: SuffixParams) -> tuple[np.ndarray, ...]:
     first = np.cumsum(room) - room
     at = np.arange(len(which)) - first[which] + (end - size)[which]
     if not len(at):
-        return none, none, none, none, none
+        return none, none, none, none, none.reshape(0, 4), none.reshape(0, 2)
     chosen = best[at].astype(np.int64)
     new = np.flatnonzero(np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (which[1:] != which[:-1]))))
     count = np.diff(np.append(new, len(at)))
     start, anchor = at[new], chosen[new]
-    whole = mixed(rolling.of(start, start + count - 1 + p.length) + mixed((count.astype(np.uint64) << np.uint64(20)) + (anchor - start).astype(np.uint64)))
-    return which[new], start - (end - size)[which[new]], count, gram[anchor].view(np.int64), whole.view(np.int64)
+    longs = ordered_longs(np.ascontiguousarray(raw[anchor[:, None] + np.arange(p.gram)]))
+    whole = digests(memoryview(joined), start, start + count - 1 + p.length, anchor - start)
+    begin = (end - size)[which[new]]
+    return which[new], start - begin, count, anchor - begin, longs, whole
 
 
 def pieces(texts: list[bytes], p: SuffixParams) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -117,157 +140,198 @@ def pieces(texts: list[bytes], p: SuffixParams) -> Iterator[tuple[list[int], lis
         yield who, start, part
 
 
-_ENTRY = "key long, whole long, doc_id long, start long, count long"
+_BYTES = ["k1", "k2", "k3", "k4"]
+_WHOLE = ["w1", "w2"]
+_PLACE = ["doc_id", "start", "count", "anchor"]
+_ENTRY = [*_BYTES, *_WHOLE, *_PLACE]
 
 
-def suffix_array(docs: DataFrame, p: SuffixParams) -> DataFrame:
-    """A batch's entries, ordered by the hash of their first bytes."""
+def sampled_suffixes(docs: DataFrame, p: SuffixParams) -> DataFrame:
+    """A batch's entries, in no order, and which of them are known to be repeated (none). Written down."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
             for who, offset, part in pieces([t.as_buffer().to_pybytes() for t in batch.column("text")], p):
-                which, start, count, key, whole = entries(part, p)
-                cols = (key, whole, ids[np.array(who)][which], start + np.array(offset)[which], count)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "whole", "doc_id", "start", "count"])
+                which, start, count, anchor, longs, whole = entries(part, p)
+                base = np.array(offset, np.int64)[which]
+                cols = [*np.ascontiguousarray(longs.T), *np.ascontiguousarray(whole.T), ids[np.array(who)][which], start + base, count, anchor + base]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=_ENTRY)
 
-    return _ordered(docs.mapInArrow(run, _ENTRY), "suffixes")
+    out = docs.mapInArrow(run, ", ".join(f"{c} long" for c in _ENTRY))
+    return cut(out.withColumn("done", F.lit(False)), "suffixes")
 
 
-def _ordered(rows: DataFrame, name: str) -> DataFrame:
-    return cut(rows.repartition("key", "whole").sortWithinPartitions("key", "whole"), name)
+# --- sorted arrays and the scan of neighbours ---
 
 
-def index_and_scan(docs: DataFrame, p: SuffixParams) -> tuple[list[DataFrame], DataFrame]:
-    """Levels of the finished family, and the keys that met: ``key``."""
-    levels: dict[int, DataFrame] = {}
-    met = []
-    for b in range(p.batches):
-        batch = suffix_array(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(p.batches)) == b), p)
-        keys = batch.groupBy("key").agg(F.count("*").alias("n"))
-        for standing in levels.values():
-            keys = keys.join(standing.select("key").distinct().withColumn("s", F.lit(1)), "key", "left")
-            keys = keys.select("key", (F.col("n") + F.coalesce("s", F.lit(0))).alias("n"))
-        met.append(cut(keys.where("n > 1").select("key"), "met"))
-        rank, merged = 0, batch
-        while rank in levels:
-            old = levels.pop(rank)
-            both = _ordered(merged.unionAll(old), "suffixes")
-            drop(old)
-            drop(merged)
-            merged, rank = both, rank + 1
-        levels[rank] = merged
-    found = met[0]
-    for m in met[1:]:
-        found = found.unionAll(m)
-    return list(levels.values()), found.distinct()
+def scanned(rows: DataFrame, first: list[str], rest: list[str], place: list[str], name: str, p: SuffixParams) -> DataFrame:
+    """``rows`` as one array sorted by ``first``, then ``rest``, then ``place``, with what its neighbours say of each row.
 
+    Adds ``twin`` (a neighbour has the same ``first`` and ``rest``), ``lead`` (the first of those alike) and
+    ``several`` (rows of the same ``first`` differ in ``rest``). The array is dealt out by ranges and
+    written down; what rows at the ends of tasks need to know of each other is two rows a task.
+    """
+    rows = rows.select(*first, *rest, *place, *[c for c in rows.columns if c not in {*first, *rest, *place}])
+    names, n_key, n_first = rows.columns, len(first) + len(rest), len(first)
+    tasks = max(1, math.ceil(rows.count() / p.rows), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-def _intervals(rows: DataFrame, p: SuffixParams) -> DataFrame:
-    return rows.select("doc_id", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + p.length).alias("b"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(list(batches), schema=None) if (batches := [b for b in batches if b.num_rows]) else None
+        if whole is None:
+            return
+        key = [whole.column(k).to_numpy() for k in range(n_key)]
+        n = whole.num_rows
+        same = np.ones(n - 1, bool)
+        for c in key[:n_first]:
+            same &= c[1:] == c[:-1]
+        alike = same.copy()
+        for c in key[n_first:]:
+            alike &= c[1:] == c[:-1]
+        lead = np.concatenate(([True], ~alike))
+        run_of = np.cumsum(np.concatenate(([True], ~same))) - 1
+        several = (np.bincount(run_of, lead) > 1)[run_of]
+        twin = ~lead | np.concatenate((alike, [False]))
+        ends = np.zeros(n, np.int8)
+        ends[0] += 1
+        ends[-1] += 2
+        part = np.full(n, TaskContext.get().partitionId(), np.int32)
+        extra = zip(("twin", "lead", "several", "ends", "part"), (twin, lead, several, ends, part), strict=True)
+        for name, values in extra:
+            whole = whole.append_column(name, pa.array(values))
+        yield from whole.to_batches(max_chunksize=50_000)
+
+    schema = rows.schema.add("twin", "boolean").add("lead", "boolean").add("several", "boolean").add("ends", "byte").add("part", "integer")
+    order = [*first, *rest, *place]
+    array = cut(rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(run, schema), name)
+    return _across_tasks(array, names, first, rest)
+
+
+def _across_tasks(array: DataFrame, names: list[str], first: list[str], rest: list[str]) -> DataFrame:
+    """Mend the marks of rows whose like stand in the next or the last task, too."""
+    edges = array.where("ends > 0").select("part", "ends", "several", *first, *rest).collect()  # two rows a task
+    several: dict[tuple, bool] = {}
+    spread: dict[tuple, int] = {}
+    last = None
+    for r in sorted(edges, key=lambda r: (r["part"], r["ends"])):
+        g, w = tuple(r[c] for c in first), tuple(r[c] for c in rest)
+        if r["ends"] & 1 and last and last[0] == g:
+            several[g] = several.get(g, False) or last[2] or r["several"] or last[1] != w
+            if last[1] == w:
+                spread.setdefault(g + w, last[3])
+        elif g in several:
+            several[g] |= r["several"]
+        if r["ends"] & 2:
+            last = (g, w, r["several"], r["part"])
+    spark = array.sparkSession
+    if several:
+        types = ", ".join(f"{c} long" for c in first)
+        known = spark.createDataFrame([(*g, s) for g, s in several.items()], f"{types}, over_several boolean")
+        array = array.join(F.broadcast(known), first, "left").withColumn("several", F.col("several") | F.coalesce("over_several", F.lit(False)))
+    if spread:
+        types = ", ".join(f"{c} long" for c in [*first, *rest])
+        known = spark.createDataFrame([(*k, part) for k, part in spread.items()], f"{types}, from_part int")
+        array = array.join(F.broadcast(known), [*first, *rest], "left")
+        array = array.withColumns({"twin": F.col("twin") | F.col("from_part").isNotNull(), "lead": F.col("lead") & (F.coalesce("from_part", "part") == F.col("part"))})
+    return array.select(*names, "twin", "lead", "several")
+
+
+# --- the family of levels ---
+
+
+class SuffixIndex:
+    """Takes batch after batch of documents: ``doc_id`` (unique over all batches), ``text`` (bytes).
+
+    ``levels``: the standing arrays by rank. ``repeated``: entries found to be repeated throughout; ``noted``: one of each kind of
+    those that only share first bytes with others; both grow with every batch.
+    """
 
+    def __init__(self, p: SuffixParams = SuffixParams()):
+        self.p, self.levels = p, {}
+        self.repeated: list[DataFrame] = []
+        self.noted: list[DataFrame] = []
+
+    def add(self, docs: DataFrame) -> None:
+        batch = sampled_suffixes(docs, self.p)
+        rank, merging = 0, []
+        while rank in self.levels:
+            merging.append(self.levels.pop(rank))
+            rank += 1
+        for level in self.levels.values():
+            drop(self._scan(batch.unionByName(level)))
+        both = batch
+        for level in merging:
+            both = both.unionByName(level)
+        array = self._scan(both)
+        for old in (batch, *merging):
+            drop(old)
+        self.levels[rank] = array.withColumn("done", F.col("done") | F.col("twin")).select(*_ENTRY, "done")
 
-def stretches(docs: DataFrame, asked: DataFrame, p: SuffixParams) -> DataFrame:
-    """``asked`` with the bytes it names: ``key, doc_id, start, single, hot, body``."""
-    wanted = asked.groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "count", "single", "hot")).alias("asked"))
-    both = docs.join(wanted, "doc_id").select("doc_id", "text", "asked")
-    length = p.length
+    def _scan(self, rows: DataFrame) -> DataFrame:
+        array = scanned(rows, _BYTES, _WHOLE, _PLACE, "suffix-array", self.p)
+        self.repeated.append(cut(array.where("twin and not done").select("doc_id", "start", "count"), "repeated"))
+        self.noted.append(cut(array.where("lead and several").select(*_PLACE), "noted"))
+        return array
+
+    def intervals(self, docs: DataFrame) -> DataFrame:
+        """``doc_id, a, b``: byte intervals that together cover every repeated stretch of all batches, ``docs``."""
+        whole = _union(self.repeated).select("doc_id", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + self.p.length).alias("b"))
+        return whole.unionAll(compare(docs, _union(self.noted).distinct(), self.p))
+
+    def close(self) -> None:
+        for level in self.levels.values():
+            drop(level)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for i, t, wants in zip(*(batch.column(c) for c in ("doc_id", "text", "asked")), strict=True):
-                text = t.as_buffer().to_pybytes()
-                for w in wants.as_py():
-                    out.append({"key": w["key"], "doc_id": i.as_py(), "start": w["start"], "single": w["single"], "hot": w["hot"], "body": text[w["start"] : w["start"] + w["count"] - 1 + length]})
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("single", pa.bool_()), ("hot", pa.bool_()), ("body", pa.binary())])
-    return cut(both.mapInArrow(run, "key long, doc_id long, start long, single boolean, hot boolean, body binary"), "stretches")
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionAll(f)
+    return out
 
 
-def stretch_hashes(keys: list[int], bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all stretches of the bodies: whose, where in it, and a hash of key and stretch."""
-    size = np.fromiter(map(len, bodies), np.int64, len(bodies))
-    room = size - length + 1
-    which = np.repeat(np.arange(len(bodies)), room)
-    inner = np.arange(len(which)) - (np.cumsum(room) - room)[which]
-    at = inner + (np.cumsum(size) - size)[which]
-    rolling = Rolling(np.frombuffer(b"".join(bodies), np.uint8))
-    key = np.array(keys, np.int64).view(np.uint64)
-    return which, inner, mixed(rolling.of(at, at + length) ^ key[which])
+# --- comparison on both sides of the anchors ---
 
 
-def compare(bodies: DataFrame, p: SuffixParams) -> DataFrame:
-    """Intervals ``doc_id, a, b`` of the single entries' stretches that another entry of the key has too."""
+def dealt(docs: DataFrame, noted: DataFrame, width: int, p: SuffixParams) -> DataFrame:
+    """``c1, c2, doc_id, start, count, anchor``: the stretches of ``noted``, those of ``width`` neighbouring places before their
+    anchor to a row, with a digest of the bytes that all stretches of these places share. Of width 1: each stretch whole."""
+    wanted = noted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "count", "anchor")).alias("asked"))
+    both = docs.join(wanted, "doc_id").select("doc_id", "text", "asked")
     length = p.length
-    empty = pa.schema([("doc_id", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-
-    def runs_of(rows: list[tuple]) -> pa.RecordBatch:
-        if not rows:
-            return pa.RecordBatch.from_pylist([], schema=empty)
-        key, doc, start, single, body = zip(*rows, strict=True)
-        which, inner, h = stretch_hashes(list(key), list(body), length)
-        _, at, times = np.unique(h, return_inverse=True, return_counts=True)
-        good = (times[at] > 1) & np.array(single)[which]
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], good, [False])).astype(np.int8)))
-        first, last = edge[::2], edge[1::2] - 1
-        # a run may go on into the next body: cut it where the body changes
-        cuts = np.flatnonzero(np.diff(which)) + 1
-        bounds = np.unique(np.concatenate((first, last + 1, cuts[good[cuts] & good[cuts - 1]])))
-        spans = [(a, b - 1) for a, b in zip(bounds[:-1], bounds[1:], strict=True) if good[a]]
-        if not spans:
-            return pa.RecordBatch.from_pylist([], schema=empty)
-        a, b = (np.array(x) for x in zip(*spans, strict=True))
-        doc, start = np.array(doc, np.int64)[which[a]], np.array(start, np.int64)[which[a]]
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start + inner[a]), pa.array(start + inner[b] + length)], schema=empty)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "single", "body")]
-            for row in zip(*cols, strict=True):
-                if size > 1 << 20 and row[0] != held[-1][0]:
-                    yield runs_of(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4])
-        yield runs_of(held)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                part = batch.slice(k, 2000)
-                keys, doc, start, single, body = (part.column(c).to_pylist() for c in ("key", "doc_id", "start", "single", "body"))
-                which, inner, h = stretch_hashes(keys, body, length)
-                cols = (h.view(np.int64), np.array(doc, np.int64)[which], np.array(start, np.int64)[which] + inner)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.array(single)[which])], names=["h", "doc_id", "start", "single"])
+            for i, t, wants in zip(*(batch.column(c) for c in ("doc_id", "text", "asked")), strict=True):
+                asked = wants.values.flatten()
+                start, count, anchor = (x.to_numpy() for x in asked)
+                low, high = (anchor - start - count + 1) // width, (anchor - start) // width  # of the places before the anchor
+                each = high - low + 1
+                who = np.repeat(np.arange(len(start)), each)
+                k = np.arange(len(who)) - np.repeat(np.cumsum(each) - each, each) + low[who]
+                begin = np.maximum(start[who], anchor[who] - (k + 1) * width + 1)
+                finish = np.minimum(start[who] + count[who] - 1, anchor[who] - k * width)
+                core = digests(memoryview(t.as_buffer()), anchor[who] - k * width, anchor[who] - (k + 1) * width + 1 + length, k)
+                cols = (core[:, 0], core[:, 1], np.full(len(who), i.as_py(), np.int64), begin, finish - begin + 1, anchor[who])
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in cols], names=["c1", "c2", *_PLACE])
 
-    rows = bodies.where("not hot").drop("hot").repartition("key").sortWithinPartitions("key")
-    close = rows.mapInArrow(run, "doc_id long, a long, b long")
-    each = cut(bodies.where("hot").mapInArrow(spread, "h long, doc_id long, start long, single boolean"), "hot-stretches")
-    twice = each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    hot = each.where("single").join(twice, "h").select("doc_id", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
-    return close.unionAll(hot)
+    return cut(both.mapInArrow(run, ", ".join(f"{c} long" for c in ["c1", "c2", *_PLACE])), "cores")
+
+
+def compare(docs: DataFrame, noted: DataFrame, p: SuffixParams) -> DataFrame:
+    """Intervals ``doc_id, a, b`` of the stretches of ``noted`` that also stand at another place of it."""
+    cores = scanned(dealt(docs, noted, p.core, p), ["c1", "c2"], [], _PLACE, "core-array", p).where("twin").select(*_PLACE)
+    whole = scanned(dealt(docs, cores, 1, p), ["c1", "c2"], [], _PLACE, "stretch-array", p).where("twin")
+    return whole.select("doc_id", F.col("start").alias("a"), (F.col("start") + p.length).alias("b"))
 
 
 def repeated_intervals(docs: DataFrame, p: SuffixParams) -> DataFrame:
-    """``doc_id, a, b``: byte intervals that together cover every repeated stretch."""
-    levels, met = index_and_scan(docs, p)
-    index = levels[0]
-    for level in levels[1:]:
-        index = index.unionAll(level)
-    hits = cut(index.join(met, "key"), "hits")
-    for level in levels:
-        drop(level)
-    twins = hits.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "count")).alias("one"))
-    twins = cut(twins, "twins")
-    full = _intervals(hits.join(twins.where("n > 1").select("key", "whole"), ["key", "whole"]), p)
-    several = twins.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    asked = twins.join(several, "key").select("key", "one.doc_id", "one.start", "one.count", (F.col("n") == 1).alias("single"), (F.col("kinds") > p.hot).alias("hot"))
-    edges = compare(stretches(docs, asked, p), p)
-    return full.unionAll(edges)
+    """``doc_id, a, b``: byte intervals that together cover every repeated stretch. The table arrives in ``batches``."""
+    index = SuffixIndex(p)
+    for b in range(p.batches):
+        index.add(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(p.batches)) == b))
+    index.close()
+    return index.intervals(docs)
 
 
 def suffix_dedup(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFrame:

@@ -107,9 +107,9 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize(("hot", "chunk", "batches"), [(2000, 1 << 20, 4), (2, 4096, 3)])
-def test_suffix_dedup(frame, docs, hot, chunk, batches):
-    p = SuffixParams(hot=hot, chunk=chunk, batches=batches)
+@pytest.mark.parametrize(("rows", "core", "chunk", "batches"), [(500_000, 24, 1 << 20, 4), (1000, 5, 4096, 3)])
+def test_suffix_dedup(frame, docs, rows, core, chunk, batches):
+    p = SuffixParams(rows=rows, core=core, chunk=chunk, batches=batches)
     assert by_id(suffix_dedup(frame, p), "n_bytes", "n_removed", "n_spans", "kept_sha256") == B.repeats(docs)
 
 
