@@ -249,26 +249,51 @@ def ppm_by_hand(counts, context, symbol):
         if n:
             p *= len(seen) / (2 * n)
         excluded |= set(seen)
-    return p / (L.SYMBOLS - len(counts.get((), {})))
+    return p / (256 - len(counts.get((), {})))
 
 
-def test_ppm_against_dictionaries(spark):
-    texts = [b"abracadabra", b"abrabra cab", b"", b"a"]
-    model_words = spark.createDataFrame([(t.decode(),) for t in texts], "text string")
-    ppm = L.fit(L.gather(model_words).where("gram is not null").select("gram", "c"))
+@pytest.mark.parametrize("common", [1 << 20, 20, 0])
+def test_ppm_against_dictionaries(spark, monkeypatch, common):
+    """Of all 256 bytes, whichever grams are sent to the tasks and whichever joined; held-out texts too."""
+    monkeypatch.setattr(L, "COMMON_GRAMS", common)
+    monkeypatch.setattr(L, "_CHUNK", 16)  # texts in several pieces
+    docs = [(i, t) for i, t in enumerate(["abracadabra", "abrabra cab", "", "a", "Щука и щётка", "щука", "漢字かな", "cadabra щу", "bbb caa xyzq", None, "abracadabra abracadabra щука"])]
+    out = {i: L_held(i) for i, _ in docs}
+    assert 0 < sum(out.values()) < len(docs)
     counts: dict = {}
-    for t in texts:
-        s = [0, 0, 0, *t, 0]
-        for i in range(3, len(s)):
-            for k in range(4):
-                d = counts.setdefault(tuple(s[i - k : i]), {})
-                d[s[i]] = d.get(s[i], 0) + 1
-    for t in (b"abracadabra", b"cadabra", b"bbb caa", b""):
-        s = [0, 0, 0, *t, 0]
-        want = sum(np.log10(ppm_by_hand(counts, tuple(s[i - 3 : i]), s[i])) for i in range(3, len(s)))
-        assert abs(ppm.scores([t])[0] - want) < 1e-4
-    strange = ppm.scores([b"abra", b"xyzq"])
-    assert strange[1] < strange[0] < 0
+    for i, t in docs:
+        s = [0] * L.ORDER + [*(t or "").encode().lower(), 0]
+        for j in range(L.ORDER, len(s)) if not out[i] else ():
+            for k in range(L.ORDER + 1):
+                d = counts.setdefault(tuple(s[j - k : j]), {})
+                d[s[j]] = d.get(s[j], 0) + 1
+    got = {r["doc_id"]: r["score"] for r in L.lm_scoring(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, t in docs:
+        s = [0] * L.ORDER + [*(t or "").encode().lower(), 0]
+        want = sum(np.log10(ppm_by_hand(counts, tuple(s[j - L.ORDER : j]), s[j])) for j in range(L.ORDER, len(s)))
+        assert abs(got[i] - want) < 1e-4, t
+
+
+def L_held(i):
+    import zlib
+
+    return zlib.crc32(str(i).encode()) % 7 == 2
+
+
+def test_ppm_beats_the_word_base_on_held_out_text(spark):
+    """In text whose words follow one another, not as if drawn alone."""
+    r = random.Random(12)
+    vocab = sorted({words(r, 1) for _ in range(300)})
+    after = {w: r.sample(vocab, 4) for w in vocab}
+
+    def text():
+        ws = [r.choice(vocab)]
+        while len(ws) < 300:
+            ws.append(r.choice(after[ws[-1]]))
+        return " ".join(ws)
+
+    rows = [x for x in L.lm_scoring(spark.createDataFrame([(i, text()) for i in range(300)], "doc_id long, text string")).collect() if x["held_out"]]
+    assert len(rows) > 20 and sum(x["score"] for x in rows) > sum(x["base_score"] for x in rows)
 
 
 def test_pipeline(spark, tmp_path):
