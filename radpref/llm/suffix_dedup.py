@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from radpref.llm.common import cut, drop, small_batches, text_or_empty
@@ -41,7 +41,7 @@ from radpref.llm.near_dedup import mixed
 class SuffixParams:
     """``batches``: in how many batches a whole table arrives. ``rows``: entries of a sorted array in one task.
 
-    ``core``: as many neighbouring stretches share a core.
+    ``core``: as many neighbouring stretches share a core. ``length`` is at most ``gram`` + 254.
     """
 
     length: int = 200
@@ -142,12 +142,36 @@ def pieces(texts: list[bytes], p: SuffixParams) -> Iterator[tuple[list[int], lis
 
 _BYTES = ["k1", "k2", "k3", "k4"]
 _WHOLE = ["w1", "w2"]
-_PLACE = ["doc_id", "start", "count", "anchor"]
-_ENTRY = [*_BYTES, *_WHOLE, *_PLACE]
+_CORE = ["c1", "c2"]
+#: ``place`` packs what is said of an entry in its text: first stretch, how far behind it the anchor is, number of stretches, known to be repeated.
+_PLACE = ["doc_id", "place"]
+
+
+def packed(start: np.ndarray, anchor: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return (start << 17) | ((anchor - start) << 9) | (count << 1)
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    start = place >> 17
+    return start, start + ((place >> 9) & 255), (place >> 1) & 255
+
+
+def _interval(length: int) -> list[Column]:
+    start, count = F.shiftright("place", 17), F.shiftright("place", 1).bitwiseAND(F.lit(255))
+    return [start.alias("a"), (start + count - 1 + length).alias("b")]
+
+
+def _frame(columns: list[str]) -> str:
+    return ", ".join(f"{c} long" for c in columns)
+
+
+def _batch(columns: list[str], values: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(v), pa.int64()) for v in values], names=columns)
 
 
 def sampled_suffixes(docs: DataFrame, p: SuffixParams) -> DataFrame:
-    """A batch's entries, in no order, and which of them are known to be repeated (none). Written down."""
+    """A batch's entries, in no order. Written down."""
+    names = [*_BYTES, *_WHOLE, *_PLACE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,31 +179,31 @@ def sampled_suffixes(docs: DataFrame, p: SuffixParams) -> DataFrame:
             for who, offset, part in pieces([t.as_buffer().to_pybytes() for t in batch.column("text")], p):
                 which, start, count, anchor, longs, whole = entries(part, p)
                 base = np.array(offset, np.int64)[which]
-                cols = [*np.ascontiguousarray(longs.T), *np.ascontiguousarray(whole.T), ids[np.array(who)][which], start + base, count, anchor + base]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=_ENTRY)
+                yield _batch(names, [*longs.T, *whole.T, ids[np.array(who)][which], packed(start + base, anchor + base, count)])
 
-    out = docs.mapInArrow(run, ", ".join(f"{c} long" for c in _ENTRY))
-    return cut(out.withColumn("done", F.lit(False)), "suffixes")
+    return cut(docs.mapInArrow(run, _frame(names)), "suffixes")
 
 
 # --- sorted arrays and the scan of neighbours ---
 
 
-def scanned(rows: DataFrame, first: list[str], rest: list[str], place: list[str], name: str, p: SuffixParams) -> DataFrame:
-    """``rows`` as one array sorted by ``first``, then ``rest``, then ``place``, with what its neighbours say of each row.
+def scanned(rows: DataFrame, first: list[str], rest: list[str], name: str, p: SuffixParams, keep: bool = False) -> DataFrame:
+    """``rows`` as one array sorted by ``first``, then ``rest``, then place, with what its neighbours say of each row.
 
     Adds ``twin`` (a neighbour has the same ``first`` and ``rest``), ``lead`` (the first of those alike) and
     ``several`` (rows of the same ``first`` differ in ``rest``). The array is dealt out by ranges and
-    written down; what rows at the ends of tasks need to know of each other is two rows a task.
+    written down; what rows at the ends of tasks need to know of each other is two rows a task. Unless all
+    rows are to be kept, those without a new mark (new twins, leads of several) go.
     """
-    rows = rows.select(*first, *rest, *place, *[c for c in rows.columns if c not in {*first, *rest, *place}])
-    names, n_key, n_first = rows.columns, len(first) + len(rest), len(first)
+    names, n_key, n_first = [*first, *rest, *_PLACE], len(first) + len(rest), len(first)
+    rows = rows.select(*names)
     tasks = max(1, math.ceil(rows.count() / p.rows), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(list(batches), schema=None) if (batches := [b for b in batches if b.num_rows]) else None
-        if whole is None:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
+        whole = pa.Table.from_batches(batches)
         key = [whole.column(k).to_numpy() for k in range(n_key)]
         n = whole.num_rows
         same = np.ones(n - 1, bool)
@@ -196,14 +220,15 @@ def scanned(rows: DataFrame, first: list[str], rest: list[str], place: list[str]
         ends[0] += 1
         ends[-1] += 2
         part = np.full(n, TaskContext.get().partitionId(), np.int32)
-        extra = zip(("twin", "lead", "several", "ends", "part"), (twin, lead, several, ends, part), strict=True)
-        for name, values in extra:
-            whole = whole.append_column(name, pa.array(values))
+        for column, values in zip(("twin", "lead", "several", "ends", "part"), (twin, lead, several, ends, part), strict=True):
+            whole = whole.append_column(column, pa.array(values))
+        if not keep:
+            new = twin & (whole.column("place").to_numpy() & 1 == 0)
+            whole = whole.filter(pa.array(new | (lead & several) | (ends > 0) | (lead & (run_of == run_of[-1]))))
         yield from whole.to_batches(max_chunksize=50_000)
 
     schema = rows.schema.add("twin", "boolean").add("lead", "boolean").add("several", "boolean").add("ends", "byte").add("part", "integer")
-    order = [*first, *rest, *place]
-    array = cut(rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(run, schema), name)
+    array = cut(rows.repartitionByRange(tasks, *names).sortWithinPartitions(*names).mapInArrow(run, schema), name)
     return _across_tasks(array, names, first, rest)
 
 
@@ -262,21 +287,20 @@ class SuffixIndex:
         both = batch
         for level in merging:
             both = both.unionByName(level)
-        array = self._scan(both)
+        array = self._scan(both, keep=True)
         for old in (batch, *merging):
             drop(old)
-        self.levels[rank] = array.withColumn("done", F.col("done") | F.col("twin")).select(*_ENTRY, "done")
+        self.levels[rank] = array.select(*_BYTES, *_WHOLE, "doc_id", F.col("place").bitwiseOR(F.col("twin").cast("long")).alias("place"))
 
-    def _scan(self, rows: DataFrame) -> DataFrame:
-        array = scanned(rows, _BYTES, _WHOLE, _PLACE, "suffix-array", self.p)
-        self.repeated.append(cut(array.where("twin and not done").select("doc_id", "start", "count"), "repeated"))
-        self.noted.append(cut(array.where("lead and several").select(*_PLACE), "noted"))
+    def _scan(self, rows: DataFrame, keep: bool = False) -> DataFrame:
+        array = scanned(rows, _BYTES, _WHOLE, "suffix-array", self.p, keep)
+        self.repeated.append(cut(array.where("twin and place % 2 = 0").select(*_PLACE), "repeated"))
+        self.noted.append(cut(array.where("lead and several").select("doc_id", (F.col("place") - F.col("place") % 2).alias("place")), "noted"))
         return array
 
     def intervals(self, docs: DataFrame) -> DataFrame:
         """``doc_id, a, b``: byte intervals that together cover every repeated stretch of all batches, ``docs``."""
-        whole = _union(self.repeated).select("doc_id", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + self.p.length).alias("b"))
-        return whole.unionAll(compare(docs, _union(self.noted).distinct(), self.p))
+        return _union(self.repeated).select("doc_id", *_interval(self.p.length)).unionAll(compare(docs, _union(self.noted).distinct(), self.p))
 
     def close(self) -> None:
         for level in self.levels.values():
@@ -294,17 +318,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def dealt(docs: DataFrame, noted: DataFrame, width: int, p: SuffixParams) -> DataFrame:
-    """``c1, c2, doc_id, start, count, anchor``: the stretches of ``noted``, those of ``width`` neighbouring places before their
-    anchor to a row, with a digest of the bytes that all stretches of these places share. Of width 1: each stretch whole."""
-    wanted = noted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "count", "anchor")).alias("asked"))
-    both = docs.join(wanted, "doc_id").select("doc_id", "text", "asked")
-    length = p.length
+    """``c1, c2, doc_id, place``: the stretches of ``noted``, those of ``width`` neighbouring places before their anchor to
+    a row, with a digest of the bytes that all stretches of these places share. Of width 1: each stretch whole."""
+    wanted = noted.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    both = docs.join(wanted, "doc_id").select("doc_id", "text", "places")
+    length, names = p.length, [*_CORE, *_PLACE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, t, wants in zip(*(batch.column(c) for c in ("doc_id", "text", "asked")), strict=True):
-                asked = wants.values.flatten()
-                start, count, anchor = (x.to_numpy() for x in asked)
+            for i, t, places in zip(*(batch.column(c) for c in ("doc_id", "text", "places")), strict=True):
+                start, anchor, count = unpacked(places.values.to_numpy())
                 low, high = (anchor - start - count + 1) // width, (anchor - start) // width  # of the places before the anchor
                 each = high - low + 1
                 who = np.repeat(np.arange(len(start)), each)
@@ -312,17 +335,20 @@ def dealt(docs: DataFrame, noted: DataFrame, width: int, p: SuffixParams) -> Dat
                 begin = np.maximum(start[who], anchor[who] - (k + 1) * width + 1)
                 finish = np.minimum(start[who] + count[who] - 1, anchor[who] - k * width)
                 core = digests(memoryview(t.as_buffer()), anchor[who] - k * width, anchor[who] - (k + 1) * width + 1 + length, k)
-                cols = (core[:, 0], core[:, 1], np.full(len(who), i.as_py(), np.int64), begin, finish - begin + 1, anchor[who])
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in cols], names=["c1", "c2", *_PLACE])
+                yield _batch(names, [*core.T, np.full(len(who), i.as_py(), np.int64), packed(begin, anchor[who], finish - begin + 1)])
 
-    return cut(both.mapInArrow(run, ", ".join(f"{c} long" for c in ["c1", "c2", *_PLACE])), "cores")
+    return cut(both.mapInArrow(run, _frame(names)), "cores")
 
 
 def compare(docs: DataFrame, noted: DataFrame, p: SuffixParams) -> DataFrame:
     """Intervals ``doc_id, a, b`` of the stretches of ``noted`` that also stand at another place of it."""
-    cores = scanned(dealt(docs, noted, p.core, p), ["c1", "c2"], [], _PLACE, "core-array", p).where("twin").select(*_PLACE)
-    whole = scanned(dealt(docs, cores, 1, p), ["c1", "c2"], [], _PLACE, "stretch-array", p).where("twin")
-    return whole.select("doc_id", F.col("start").alias("a"), (F.col("start") + p.length).alias("b"))
+    cores = dealt(docs, noted, p.core, p)
+    shared = scanned(cores, _CORE, [], "core-array", p).where("twin").select(*_PLACE)
+    drop(cores)
+    stretches = dealt(docs, shared, 1, p)
+    found = scanned(stretches, _CORE, [], "stretch-array", p).where("twin").select("doc_id", *_interval(p.length))
+    drop(stretches)
+    return found
 
 
 def repeated_intervals(docs: DataFrame, p: SuffixParams) -> DataFrame:
@@ -348,27 +374,30 @@ def suffix_dedup(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFrame
         rows = cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
         found = suffix_dedup(rows.select(F.col("row").alias("doc_id"), "text"), p)
         return found.withColumnRenamed("doc_id", "row").join(rows.select("row", "doc_id"), "row").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    marks = repeated_intervals(docs, p).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("gone"))
+    marks = repeated_intervals(docs, p).groupBy("doc_id").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
     both = docs.join(marks, "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t, gone in zip(batch.column("text"), batch.column("gone"), strict=True):
-                text, spans = t.as_buffer().to_pybytes(), []
-                for g in gone.as_py() or ():
-                    if spans and g["a"] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], g["b"])
-                    else:
-                        spans.append([g["a"], g["b"]])
-                kept = hashlib.sha256()
-                at = 0
-                for a, b in spans:
-                    kept.update(text[at:a])
-                    at = b
+            for t, a, b in zip(*(batch.column(c) for c in ("text", "a", "b")), strict=True):
+                text = t.as_buffer()
+                starts, ends = merged_intervals(a.values.to_numpy(), b.values.to_numpy()) if a.is_valid else ([], [])
+                kept, at = hashlib.sha256(), 0
+                for x, y in zip(starts, ends, strict=True):
+                    kept.update(text[at:x])
+                    at = y
                 kept.update(text[at:])
-                out.append((len(text), sum(b - a for a, b in spans), len(spans), kept.hexdigest()))
+                out.append((len(text), sum(ends) - sum(starts), len(starts), kept.hexdigest()))
             cols = list(zip(*out, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def merged_intervals(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """The union of intervals as disjoint ones that do not touch, in order."""
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], np.maximum.accumulate(b[order])
+    new = np.flatnonzero(a[1:] > b[:-1]) + 1
+    return a[np.concatenate(([0], new))].tolist(), b[np.concatenate((new - 1, [len(b) - 1]))].tolist()
