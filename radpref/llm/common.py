@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space that ends a word: blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -68,6 +68,32 @@ def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordB
         yield batch.slice(start)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """``df`` with numbers from 0 by an order, without sorting it in one task.
+
+    Rows are dealt out by ranges and numbered within them; where a range begins is a row a task.
+    """
+    part = free_name("number_part", df.columns)
+    dealt = cut(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "numbered")
+    count = dict(dealt.groupBy(part).count().collect())
+    before, starts = 0, []
+    for k in sorted(count):
+        starts.append((k, before))
+        before += count[k]
+    first = free_name("number_first", df.columns)
+    known = df.sparkSession.createDataFrame(starts, f"{part} int, {first} long")
+    within = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
+    return dealt.withColumn(name, within).join(F.broadcast(known), part).withColumn(name, (F.col(name) + F.col(first)).cast("long")).drop(part, first)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id's decimal text, modulo ``folds``, is ``fold``; a null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(True))
