@@ -7,9 +7,10 @@ j + 1, no later offer can win, so long documents stop after a step or two.
 
 Documents of equal sets are one class from the start. Classes that share a band are candidates: first each
 against the least one of its bucket, over a few bands, which settles groups of close copies; then over all
-bands, where bucket and member are still apart; then, in buckets that still hold several components, all
-members against all that are not of the main component, in blocks of bounded size. Pairs are confirmed on
-their full sets throughout.
+bands, where bucket and member are still apart; then, within each bucket that still holds several components,
+all members against those that are not of its main component, in blocks of bounded size, buckets of equal
+members once, and some bands after others, so that what is settled needs no more comparing. Pairs are
+confirmed on their full sets throughout.
 """
 
 from __future__ import annotations
@@ -29,15 +30,21 @@ from radpref.llm.components import components
 
 @dataclass(frozen=True)
 class NearParams:
-    """Two documents of similarity 0.8 share no band once in 300,000 times (32 bands of 5 places)."""
+    """Two documents of similarity 0.8 share no band once in 300,000 times (32 bands of 5 places).
+
+    ``open_bands``: up to which band mixed buckets are worked through at a time. ``salts``: parts that a group's rows are dealt to
+    while its blocks are counted out.
+    """
 
     words: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
     first_bands: int = 4
-    block: int = 256
+    block: int = 128
     block_shingles: int = 400_000
+    open_bands: tuple[int, ...] = (8, 32)
+    salts: int = 16
 
 
 _GOLD, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -157,7 +164,8 @@ def confirm(asked: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
     blocks = asked.groupBy("grp").agg(count(F.col("query")).alias("qs"), count(~F.col("query")).alias("ms"))
     deal = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    rows = asked.join(blocks, "grp")
+    salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(p.salts - 1))))
+    rows = asked.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(p.salts)).cast("int")).join(salted, ["grp", "salt"]).drop("salt")
     queries = rows.where("query").withColumn("q", deal("qs")).withColumn("m", every("ms"))
     members = rows.where("not query").withColumn("m", deal("ms")).withColumn("q", every("qs"))
     dealt = queries.unionByName(members).select("grp", "q", "m", "id", "comp", "query").join(sets.select("id", "shingles"), "id")
@@ -213,15 +221,21 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
     A null or empty text has an empty set and is linked with nothing. Rows that share an id are one
-    document, whose text is the smallest of theirs, and each of them gets its result. A row of no id is a
+    document: each has its own set, and all of their links are that document's. A row of no id is a
     component of its own, without a number. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    rows = docs.select("doc_id").where("doc_id is not null")
-    if rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").isEmpty():
         return _components_of(docs, p)
-    known = _components_of(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")), p)
-    return rows.join(known, "doc_id").unionByName(_components_of(docs.where("doc_id is null"), p))
+    rows = cut(docs.where("doc_id is not null").withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    found = cut(_components_of(rows.select(F.col("row").alias("doc_id"), "text"), p).withColumnsRenamed({"doc_id": "row", "component_id": "near"}), "near-found")
+    first = rows.groupBy("doc_id").agg(F.min("row").alias("first"))
+    same = rows.select("doc_id", "row").join(first, "doc_id").select(F.col("row").alias("a"), F.col("first").alias("b"))
+    known = components(same.unionAll(found.select(F.col("row").alias("a"), F.col("near").alias("b"))))
+    each = rows.select("doc_id", "row").join(found, "row").join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+    least = each.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    each = each.join(least, "component").select("doc_id", "n_shingles", "component_id")
+    return each.unionByName(_components_of(docs.where("doc_id is null"), p))
 
 
 def _components_of(docs: DataFrame, p: NearParams) -> DataFrame:
@@ -246,17 +260,11 @@ def _components_of(docs: DataFrame, p: NearParams) -> DataFrame:
     apart = _apart(members, known)
     links = links.unionAll(star(apart.where("pivot_comp != comp")))
     known = components(links)
-    apart = cut(_apart(members, known), "apart")
-    mixed_buckets = apart.groupBy("band", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("band", "h")
-    open_ = cut(apart.join(mixed_buckets, ["band", "h"]).select("pivot", "id", "comp", "n").distinct(), "open")
-    areas = components(open_.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-    area = open_.select("id", "comp", "n").distinct().join(areas.withColumnsRenamed({"node": "id", "component": "grp"}), "id")
-    parts = area.groupBy("grp", "comp").agg(F.count("*").alias("k"))
-    main = parts.groupBy("grp").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"))
-    area = cut(area.join(main, "grp").select("grp", "id", "comp", "n", (F.col("comp") != F.col("main")).alias("query")), "areas")
-    asked = area.withColumn("query", F.lit(False)).unionByName(area.where("query").withColumn("query", F.lit(True)))
-    links = links.unionAll(confirm(asked, sets, p))
-    known = components(links)
+    low = 0
+    for high in p.open_bands:
+        found = confirm(_open_buckets(members.where((F.col("band") >= low) & (F.col("band") < high)), known), sets, p)
+        links, low = links.unionAll(found), high
+        known = components(links)
     lead = classes.join(known.withColumnRenamed("node", "id"), "id", "left").select("f1", "f2", "id", "other", F.coalesce("component", "id").alias("component"))
     lead = lead.where("component != id or id != other").select("f1", "f2", "component")
     out = sketch.join(lead, ["f1", "f2"], "left")
@@ -264,6 +272,19 @@ def _components_of(docs: DataFrame, p: NearParams) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def _open_buckets(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``grp, id, comp, n, query``: all members of the buckets that hold several components; queries are, once more, those not of the main one."""
+    apart = cut(_apart(members, known), "apart")
+    of = ["band", "h"]
+    several = apart.groupBy(*of).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("id")).alias("all"), F.count("*").alias("k")).where("lo != hi")
+    several = several.groupBy("all", "k").agg(F.min(F.struct(*of)).alias("one")).select("one.*")  # buckets of the same members are one
+    rows = apart.join(several, of).select(F.xxhash64(*of).alias("grp"), "id", "comp", "n")
+    parts = rows.groupBy("grp", "comp").agg(F.count("*").alias("k"))
+    main = parts.groupBy("grp").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"))
+    rows = cut(rows.join(main, "grp").select("grp", "id", "comp", "n", (F.col("comp") != F.col("main")).alias("query")), "open")
+    return rows.withColumn("query", F.lit(False)).unionByName(rows.where("query"))
+
+
 def _apart(members: DataFrame, known: DataFrame) -> DataFrame:
     """``members`` with the components of id and pivot so far."""
     a = known.select(F.col("node").alias("id"), F.col("component").alias("comp"))

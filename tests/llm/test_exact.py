@@ -3,6 +3,7 @@
 import random
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -75,9 +76,11 @@ def test_near_duplicates_in_small_blocks(frame, docs):
 
 
 def test_near_duplicates_repeats_and_nulls(spark):
-    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f"), (7, "z y"), (7, "b")]
+    same = "q r s t u v w x"  # five shingles of four words
+    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f"), (7, "z y"), (7, "b"), (5, same), (9, same), (9, "lone"), (4, None)]
     got = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), NearParams(words=4)).collect()), key=str)
-    assert got == sorted([(5, 3, 2, False), (5, 3, 2, False), (2, 3, 2, True), (None, 3, None, True), (7, 1, 7, True), (7, 1, 7, True)], key=str)
+    want = [(5, 3, 2, False), (5, 3, 2, False), (2, 3, 2, True), (None, 3, None, True), (7, 1, 7, True), (7, 1, 7, True), (5, 5, 2, False), (9, 5, 2, False), (9, 1, 2, False), (4, 0, 4, True)]
+    assert got == sorted(want, key=str)
     assert near_duplicates(empty(spark)).count() == 0
 
 
@@ -113,6 +116,27 @@ def test_suffix_dedup(frame, docs, rows, core, chunk, batches):
     assert by_id(suffix_dedup(frame, p), "n_bytes", "n_removed", "n_spans", "kept_sha256") == B.repeats(docs)
 
 
+def test_suffix_index_takes_batches_as_they_come(spark, frame, docs):
+    """Levels double, every batch meets all that stands, and what is found in the end doesn't hang on the batches."""
+    from radpref.llm.suffix_dedup import SuffixIndex
+
+    p = SuffixParams()
+    whole = frame.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    found = []
+    for batches in (1, 3):
+        index = SuffixIndex(p)
+        for k in range(batches):
+            index.add(whole.where(F.pmod(F.col("doc_id") / 3, F.lit(batches)) == k))
+            standing = bin(k + 1)[2:]
+            assert sorted(index.levels) == [i for i, bit in enumerate(reversed(standing)) if bit == "1"]
+        covered = {}
+        for r in index.intervals(whole).collect():
+            covered.setdefault(r["doc_id"], set()).update(range(r["a"], r["b"]))
+        found.append(covered)
+        index.close()
+    assert found[0] == found[1] and {i: len(c) for i, c in found[0].items()} == {i: n[1] for i, n in B.repeats(docs).items() if n[1]}
+
+
 def test_suffix_dedup_repeats_and_nulls(spark):
     t = "".join(random.Random(3).choice("abcdefgh ") for _ in range(300))
     rows = [(1, t), (1, t), (None, t[:250]), (2, "short"), (None, None)]
@@ -185,16 +209,54 @@ def test_mix_deals_blocks_once(spark, frame):
     assert mixed_documents(frame, MixParams(block_words=None, shard_words=100)).columns == frame.columns
 
 
-def test_shard_of_a_rank(spark):
-    from radpref.llm.mixing import shard_of
-
-    bounds = [0, 3, 3, 5, 9, 9, 12, 20]
-    for shards in (2, 4, 8):
-        part = bounds[:shards]
-        step = 1 << ((shards.bit_length() - 1) // 2)
-        rows = [(r, part, part[step - 1 :: step]) for r in range(part[-1])]
-        got = spark.createDataFrame(rows, "r long, bounds array<long>, coarse_bounds array<long>").select("r", shard_of(F.col("r"), shards).alias("s")).collect()
-        assert {x["r"]: x["s"] for x in got} == {r: sum(b <= r for b in part) for r in range(part[-1])}
+def test_hypergeometric_draws(spark):
+    """Against the distribution's own chances where the support is small, and its moments where it is large."""
+    import math
+
+    from radpref.llm.mixing import hypergeometric
+
+    draws = 20_000
+    for total, marked, drawn in ((40, 13, 20), (9, 9, 4), (50, 20, 0), (2000, 900, 1000), (10**10, 3 * 10**9, 5 * 10**9), (10**6, 70, 10**6 - 10)):
+        at = lambda x: F.lit(x).cast("long")
+        got = np.array([r[0] for r in spark.range(draws).select(hypergeometric(at(total), at(marked), at(drawn), F.lit(5), F.col("id"))).collect()], float)
+        mean = drawn * marked / total
+        var = mean * (1 - marked / total) * (total - drawn) / (total - 1)
+        assert got.min() >= max(0, drawn - (total - marked)) and got.max() <= min(marked, drawn)
+        assert abs(got.mean() - mean) <= 5 * math.sqrt(var / draws) + 1e-9, (total, got.mean(), mean)
+        assert abs(got.var() - var) <= 0.06 * var + 5 * math.sqrt(var / draws), (total, got.var(), var)  # of rare draws a fourth moment about as large as the second
+        if total <= 2000:
+            for x in range(max(0, drawn - (total - marked)), min(marked, drawn) + 1):
+                chance = math.comb(marked, x) * math.comb(total - marked, drawn - x) / math.comb(total, drawn)
+                assert abs((got == x).mean() - chance) < 5 * math.sqrt(chance / draws) + 2e-4, (total, x)
+
+
+def test_splitting_tree_keeps_quotas(spark):
+    """Whatever number of sources a row may hold: leaves add up, and shards are halves of halves."""
+    from radpref.llm.mixing import splitting_tree
+
+    r = random.Random(5)
+    quota = {i: r.randint(0, 60) for i in range(30)}
+    frame = spark.createDataFrame(list(quota.items()), "source_no long, blocks long")
+    for fan in (256, 4):
+        leaves = splitting_tree(frame, 30, MixParams(shards=8, fan=fan)).collect()
+        for s, n in quota.items():
+            mine = sorted((x["shard"], x["first"], x["blocks"]) for x in leaves if x["source_no"] == s)
+            assert sum(x[2] for x in mine) == n and [x[1] for x in mine] == [sum(y[2] for y in mine[:k]) for k in range(len(mine))]
+        shard = [sum(x["blocks"] for x in leaves if x["shard"] == k) for k in range(8)]
+        assert max(shard) - min(shard) <= 3
+
+
+def test_mixed_documents_of_any_ids(spark):
+    """Rows of no id and of repeated ids count for themselves; clashing names stay; no row of a full source is lost."""
+    rows = [(None if k % 3 == 0 else k % 5, f"w{k} " * (k % 7 + 1), "s", k, k, k) for k in range(60)] + [(99, None, None, 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_row long, mix_shard long, MIX_KEY long")
+    out = mixed_documents(docs, MixParams(block_words=None, shards=1, shard_words=40))
+    assert out.columns == docs.columns
+    got = Counter(map(tuple, out.collect()))
+    assert set(got) == {r for r in rows if r[1]} and all(1 <= n <= 2 for n in got.values())
+    words = sum(n * len(r[1].split()) for r, n in got.items())
+    assert abs(words - 1.5 * sum(len(r[1].split()) for r in rows[:-1])) <= 7
+    assert mixed_documents(docs.limit(0)).count() == 0
 
 
 def test_ids_of_unsigned_crc(spark):
