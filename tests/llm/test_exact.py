@@ -152,10 +152,27 @@ def test_decontamination(spark, frame, docs):
     want = B.decontaminated(docs, items)
     names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     assert by_id(contamination_report(frame, bench), *names) == want
-    split = decontaminate(frame, bench, part_bytes=100).select("doc_id", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("n"), F.size("item_ids").alias("k"))
+    split = decontaminate(frame, bench, max_sent=3).select("doc_id", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("n"), F.size("item_ids").alias("k"))
     assert by_id(split, "n", "k") == {i: w[1:3] for i, w in want.items()}
     assert {w[1] for w in by_id(contamination_report(frame, bench.limit(0)), *names).values()} == {0}
     assert contamination_report(empty(spark), bench).count() == 0
+    nameless = spark.createDataFrame([(None, "a b c d"), (None, None)], "item_id long, text string")
+    assert {i: (w[0], w[1]) for i, w in by_id(contamination_report(frame, nameless), *names).items()} == {i: (w[0], 0) for i, w in want.items()}
+
+
+def test_decontamination_of_hot_words_repeats_and_clashing_names(spark):
+    """Items of few different words, a passage in all documents, repeated rows, columns of the operator's own names."""
+    passage = "x y x y x y x x y y x y x"
+    rows = [(k % 7 if k % 5 else None, f"d{k} {passage} {k}", 1, "n", "r", "f", "w") for k in range(60)] + [(100, "y x " * 3000, 1, "n", "r", "f", "w"), (101, None, 1, "n", "r", "f", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words long, item_ids string, decontaminate_row string, found_row string, row string")
+    items = [(1, passage), (2, "x y " * 5), (3, "y x"), (4, "x " * 10)]
+    out = decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert set(out.columns) == {*docs.columns, "hit_spans"} and out.count() == len(rows)
+    want = B.decontaminated(list(enumerate(r[1] for r in rows)), items)
+    by_text = {r[1]: want[i] for i, r in enumerate(rows)}
+    for r in out.collect():
+        w = by_text[r["text"]]
+        assert (r["n_words"], sum(s["end"] - s["start"] for s in r["hit_spans"]), len(r["item_ids"])) == w[:3] and r["row"] == "w"
 
 
 def test_quality_rules(spark, frame, docs):
