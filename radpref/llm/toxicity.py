@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from radpref.llm.common import held_out, small_batches, text_or_empty, thinned
+from radpref.llm.common import free_name, held_out, small_batches, text_or_empty, thinned
 
 #: ASCII that separates words becomes a blank and A-Z becomes a-z; bytes of other letters stay.
 _FOLD = bytes(
@@ -175,13 +175,16 @@ def worst(values: np.ndarray, passage: int) -> int:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> DataFrame:
-    """``text, toxic`` of at most ``max_docs`` rows a class, by a hash of the id; held-out ids stay out."""
-    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    """``doc_id, text, toxic`` of at most ``max_docs`` ids a class, by a hash of the id; held-out ids stay out.
+
+    One row an id: of repeated labels the highest counts, of an id's texts the least.
+    """
+    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = [F.xxhash64(F.col("doc_id").cast("string"), F.lit(p.seed)), F.col("doc_id")]
     sides = [thinned(known.where(F.col("toxic") == y), p.max_docs, p.seed, "doc_id").orderBy(*order).limit(p.max_docs) for y in (1, 0)]
     sample = sides[0].unionAll(sides[1])
     body = docs.where(F.octet_length("text") <= p.max_bytes).select("doc_id", "text")
-    return body.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    return body.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> ToxicityModel:
@@ -190,14 +193,14 @@ def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs`` with ``toxic_score``. Null and empty texts score as the bias alone."""
+    """``docs`` with ``toxic_score``, which replaces a column of that name. Null and empty texts score as the bias alone."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, cache = shared.value, {}
         for batch in batches:
-            texts = [words_of(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in batch.column("toxic_score_text")]
+            texts = [words_of(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in batch.column(batch.num_columns - 1)]
             new = list({w for t in texts for w in t}.difference(cache))
             if len(cache) + len(new) > 200_000:  # bounded; words seen again are scored again
                 cache.clear()
@@ -209,7 +212,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=out.names)
 
     out = docs.drop("toxic_score").schema.add("toxic_score", "double")
-    return docs.drop("toxic_score").withColumn("toxic_score_text", F.col("text").cast("binary")).mapInArrow(run, out)
+    return docs.drop("toxic_score").withColumn(free_name("toxic_score_text", docs.columns), F.col("text").cast("binary")).mapInArrow(run, out)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> DataFrame:
