@@ -2,7 +2,8 @@
 
 Candidates are cut out of whole texts by regular expressions; the forest sees a candidate's length, how its
 characters follow one another, how much of it common words cover, its path and its neighbouring words. It
-is trained from labelled findings. Built-in functions and JVM learners only.
+is trained from labelled findings: the caller's, or a small table written by hand. Built-in functions and
+JVM learners only.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from radpref.llm.common import SPACES, cut, thinned
+from radpref.llm.labelled import secret_examples
 from radpref.llm.quality_rules import let
 
 _CHARS = "[A-Za-z0-9+/_=-]"
@@ -58,23 +60,16 @@ def findings(docs: DataFrame, p: SecretParams = SecretParams(), path: str = "sou
     text = F.col("text")
     some = docs.where(text.rlike("[0-9=:]|PRIVATE KEY"))
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    gaps = F.split(text, CANDIDATE, -1)
-
-    def placed(fs: Column) -> Column:
-        def inner(gs: Column) -> Column:
-            start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.array().cast("array<struct<start: int, value: string, before: string, after: string>>").alias("out"))
-
-            def step(acc: Column, f: Column) -> Column:
-                begin = acc["at"] + F.char_length(F.get(gs, acc["k"]))
-                row = F.struct(begin.alias("start"), f.alias("value"), F.right(F.get(gs, acc["k"]), F.lit(p.around)).alias("before"), F.left(F.get(gs, acc["k"] + 1), F.lit(p.around)).alias("after"))
-                return F.struct((begin + F.char_length(f)).alias("at"), (acc["k"] + 1).alias("k"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-            return F.aggregate(fs, start, step, lambda acc: acc["out"])
-
-        return F.when(F.size(fs) > 0, let(gaps, inner))
-
-    rows = some.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"), F.explode(let(found, placed)).alias("f"))
-    return rows.select("doc_id", "path", "f.start", (F.col("f.start") + F.char_length("f.value")).alias("end"), "f.value", "f.before", "f.after")
+    row = F.monotonically_increasing_id().alias("row")
+    some = some.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"), found.alias("found"), text.alias("text")).where(F.size("found") > 0)
+    gaps = F.split("text", CANDIDATE, -1)
+    pieces = let(gaps, lambda gs: F.zip_with(F.col("found"), F.slice(gs, 1, F.size("found")), lambda v, g: F.struct(v.alias("value"), F.char_length(g).alias("gap"), F.right(g, F.lit(p.around)).alias("before"))))
+    after = let(gaps, lambda gs: F.transform(F.slice(gs, 2, F.size("found")), lambda g: F.left(g, F.lit(p.around))))
+    each = some.select("row", "doc_id", "path", F.posexplode(F.arrays_zip(pieces.alias("f"), after.alias("after"))).alias("at", "x"))
+    each = each.select("row", "doc_id", "path", "at", "x.f.value", "x.f.gap", "x.f.before", "x.after")
+    upto = Window.partitionBy("row").orderBy("at")
+    end = F.sum(F.col("gap") + F.char_length("value")).over(upto)
+    return each.withColumn("end", end.cast("int")).select("doc_id", "path", (F.col("end") - F.char_length("value")).alias("start"), "end", "value", "before", "after")
 
 
 def kind() -> Column:
@@ -85,7 +80,7 @@ def kind() -> Column:
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Labelled findings for want of better ones: 1 where a named value or a known form stands, 0 elsewhere and for placeholders.
+    """Findings labelled by rule, for those who would rather learn from their own documents: 1 where a named value or a known form stands, 0 elsewhere and for placeholders.
 
     A named value of letters alone, as prose has them after a colon, is 1 only with capitals within or the name of a password.
     """
@@ -94,6 +89,12 @@ def rule_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", real.cast("double"))
 
 
+def examples(docs: DataFrame) -> DataFrame:
+    """The findings labelled by hand, as rows of :func:`findings` with ``kind`` and ``label``; they have no path."""
+    rows = docs.sparkSession.createDataFrame(secret_examples(), "before string, value string, after string, label double")
+    return rows.withColumn("path", F.lit(None).cast("string")).withColumn("kind", kind())
+
+
 def dictionary(docs: DataFrame, p: SecretParams) -> list[str]:
     """The commonest words of three to eight ASCII letters in all texts."""
     words = docs.select(F.explode(F.split(F.lower("text"), SPACES)).alias("w")).where(F.col("w").rlike("^[a-z]{3,8}$"))
@@ -116,6 +117,7 @@ def features(found: DataFrame, words: list[str], p: SecretParams) -> DataFrame:
         "f_hex": v.rlike("^[0-9a-fA-F]+$").cast("double"),
         "f_entropy": entropy,
         "f_covered": covered,
+        "f_named": F.col("before").rlike(NAMED).cast("double"),
     }
     tokens = lambda c, tag: F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"[^\s\w]|\w+"), F.lit(0)), lambda w: F.concat(F.lit(tag), w))
     near = F.concat(F.slice(F.reverse(tokens(F.col("before"), "<")), 1, 3), F.slice(tokens(F.col("after"), ">"), 1, 2), F.array(F.concat(F.lit("path:"), F.coalesce("path", F.lit("")))))
@@ -123,7 +125,7 @@ def features(found: DataFrame, words: list[str], p: SecretParams) -> DataFrame:
 
 
 def stages(p: SecretParams) -> tuple[HashingTF, VectorAssembler]:
-    names = ["f_length", "f_upper", "f_digit", "f_mark", "f_class_changes", "f_vowel_turns", "f_repeats", "f_hex", "f_entropy", "f_covered"]
+    names = ["f_length", "f_upper", "f_digit", "f_mark", "f_class_changes", "f_vowel_turns", "f_repeats", "f_hex", "f_entropy", "f_covered", "f_named"]
     return HashingTF(numFeatures=p.neighbours, binary=True, inputCol="near", outputCol="near_hash"), VectorAssembler(inputCols=[*names, "near_hash"], outputCol="features")
 
 
@@ -151,14 +153,14 @@ def train(labelled: DataFrame, p: SecretParams = SecretParams()) -> PipelineMode
 def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, p: SecretParams = SecretParams(), path: str = "source") -> DataFrame:
     """All candidates with the forest's verdict.
 
-    ``labelled``: findings (columns of :func:`findings`) with ``label`` 0 or 1; left out, rules label a
-    sample of the candidates at hand. Returns ``doc_id, start, end, kind, value_sha256, score, is_secret``.
+    ``labelled``: findings (columns of :func:`findings`) with ``label`` 0 or 1; left out, the forest learns
+    from the examples by hand. Returns ``doc_id, start, end, kind, value_sha256, score, is_secret``.
     Repeated rows are scanned one by one; no candidates give an empty result.
     """
     found = findings(docs, p, path)
     words = dictionary(docs, p)
     described = cut(features(found.withColumn("kind", kind()), words, p), "findings")
-    known = rule_labels(described) if labelled is None else features(labelled, words, p)
+    known = features(examples(docs) if labelled is None else labelled, words, p)
     model = train(known, p)
     if isinstance(model, float):
         scored = described.withColumn("score", F.lit(model))
