@@ -1,14 +1,15 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes beside them.
 
-The field is trained from a small table of labelled snippets by gradient steps on the exact likelihood
-(forward-backward), and decoded by Viterbi, both in numpy over many sequences at once. It finds spellings
-that the patterns miss (numbers without their plus sign, blanks around an at sign, cards grouped by dots).
+The field is trained from a small labelled table, written by hand, and from snippets of the documents, by
+gradient steps on the exact likelihood (forward-backward), and decoded by Viterbi, both in numpy over many
+sequences at once. It finds spellings that the patterns miss (numbers without their plus sign, blanks around an at sign, cards grouped by dots).
 What it finds must also pass the kind's own test (checksum, ranges, digits) and overlap no pattern's span.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radpref.llm.common import small_batches, text_or_empty, thinned
+from radpref.llm.common import free_name, small_batches, text_or_empty, thinned
+from radpref.llm.labelled import personal_examples
 
 KINDS = ("email", "ip", "card", "phone")
 #: O, then a first and an inner state of each kind.
@@ -36,10 +38,14 @@ _DIGIT = re.compile(r"[0-9]")
 
 @dataclass(frozen=True)
 class PiiParams:
-    """At most ``max_docs`` documents of ``max_bytes`` or less, of some twenty times as many looked through, make the labelled snippets."""
+    """At most ``max_docs`` documents of ``max_bytes`` or less, of some twenty times as many looked through, make labelled snippets.
+
+    The examples by hand count ``examples`` times each.
+    """
 
     max_docs: int = 600
     max_bytes: int = 60_000
+    examples: int = 20
     reach: int = 32
     longest: int = 96
     epochs: int = 40
@@ -133,11 +139,13 @@ def sequences(text: str, p: PiiParams) -> Iterator[tuple[list[int], list[int], l
             spans.append([a, b])
     for a, b in spans:
         tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, a, b)]
-        while tokens:
-            cut = len(tokens)
+        at = 0
+        while at < len(tokens):
+            cut = len(tokens) - at
             if cut > p.longest:
-                cut = next((k for k in range(p.longest, p.longest // 2, -1) if text[slice(*tokens[k])].isalpha()), p.longest)
-            part, tokens = tokens[:cut], tokens[cut:]
+                cut = next((k for k in range(p.longest, p.longest // 2, -1) if text[slice(*tokens[at + k])].isalpha()), p.longest)
+            part = tokens[at : at + cut]
+            at += cut
             shapes = [shape(text[s:e], k > 0 and part[k - 1][1] == s) for k, (s, e) in enumerate(part)]
             yield [s for s, _ in part], [e for _, e in part], shapes
 
@@ -287,13 +295,13 @@ def variants(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
 
 
 def labelled_table(docs: DataFrame, p: PiiParams = PiiParams()) -> list[tuple[str, list[Span]]]:
-    """Snippets of a bounded sample of the documents that hold digits or at signs, labelled by the patterns.
+    """The examples by hand, and snippets of a bounded sample of the documents that hold digits or at signs, labelled by the patterns.
 
     Spans are labelled by form alone, whether or not they pass their kind's test; overlapping ones by the first kind.
     """
     some = thinned(docs, 10 * p.max_docs, p.seed, "doc_id").where(F.col("text").rlike("[0-9@]") & (F.octet_length("text") <= p.max_bytes)).select("text")
     rows = some.orderBy(F.xxhash64("text", F.lit(p.seed)), "text").limit(p.max_docs).collect()
-    out = []
+    out = personal_examples() * p.examples
     for r in rows:
         text, spans = r["text"], []
         for s in candidates(text):
@@ -307,9 +315,29 @@ def labelled_table(docs: DataFrame, p: PiiParams = PiiParams()) -> list[tuple[st
     return out
 
 
+def disjoint(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the union of some spans, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def overlaps(covered: tuple[list[int], list[int]], a: int, b: int) -> bool:
+    starts, ends = covered
+    k = bisect_left(starts, b) - 1  # the last that starts before b
+    return k >= 0 and ends[k] > a
+
+
 def all_spans(texts: list[str], field: ShapeField, p: PiiParams) -> tuple[list[list[Span]], list[list[Span]]]:
     """Of each text the patterns' spans, and the field's others."""
     base = [base_spans(t) for t in texts]
+    covered = [disjoint(b) for b in base]
     work = [(i, *s) for i, t in enumerate(texts) for s in sequences(t, p)]
     more: list[list[Span]] = [[] for _ in texts]
     work.sort(key=lambda w: len(w[1]))
@@ -317,7 +345,7 @@ def all_spans(texts: list[str], field: ShapeField, p: PiiParams) -> tuple[list[l
         part = work[k : k + 512]
         for (i, starts, ends, _), path in zip(part, field.viterbi([w[3] for w in part]), strict=True):
             for kind, a, b in spans_of(path, starts, ends) if path.any() else ():
-                if valid(kind, texts[i][a:b]) and not any(a < y and x < b for _, x, y in base[i] + more[i]):
+                if valid(kind, texts[i][a:b]) and not overlaps(covered[i], a, b):  # the field's own never overlap
                     more[i].append((kind, a, b))
     return base, more
 
@@ -327,7 +355,7 @@ def spelt(spans: list[Span]) -> str:
 
 
 def find_pii(docs: DataFrame, field: ShapeField, p: PiiParams = PiiParams()) -> DataFrame:
-    """``docs`` with ``base`` and ``added``: spans as ``kind:start:end`` in code points, end exclusive."""
+    """``docs`` with ``base`` and ``added``: spans as ``kind:start:end`` in code points, end exclusive. Columns of these names are replaced."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
     kept = docs.drop("base", "added")
@@ -340,7 +368,7 @@ def find_pii(docs: DataFrame, field: ShapeField, p: PiiParams = PiiParams()) ->
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=names)
 
     out = kept.schema.add("base", "string").add("added", "string")
-    return kept.withColumn("pii_text", text_or_empty()).mapInArrow(run, out)
+    return kept.withColumn(free_name("pii_text", kept.columns), text_or_empty()).mapInArrow(run, out)
 
 
 def pii(docs: DataFrame, p: PiiParams = PiiParams()) -> DataFrame:

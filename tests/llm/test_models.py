@@ -58,6 +58,16 @@ def test_toxicity(spark, labelled):
     assert all(abs(again[k] - r["score"]) < 1e-9 for k, r in got.items())
 
 
+def test_toxicity_learns_one_row_an_id_and_keeps_other_columns(spark, labelled):
+    docs = [(i, t, "a") for i, t, _ in labelled[:60]] * 3 + [(0, "zz", "b")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, toxic_score_text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in labelled[:60]] * 2 + [(4, 0)], "doc_id long, toxic int")
+    sample = X.labelled_sample(frame, labels).collect()
+    assert len(sample) == len({x["doc_id"] for x in sample}) > 40 and all(x["toxic"] == (x["doc_id"] % 4 == 0) for x in sample)
+    out = X.score_documents(frame, X.fit(frame, labels, X.ToxicityParams(buckets=1 << 12, epochs=3)))
+    assert out.columns == ["doc_id", "text", "toxic_score_text", "toxic_score"] and {x[0] for x in out.select("toxic_score_text").collect()} == {"a", "b"}
+
+
 def test_toxicity_scores_every_passage():
     p = X.ToxicityParams()
     model = X.ToxicityModel(np.zeros(p.buckets), -1.5, p)
@@ -97,6 +107,31 @@ def test_pii_base(spark):
     assert P.pii(frame.limit(0)).count() == 0
 
 
+def test_pii_of_long_texts_full_of_spans(spark):
+    """A contact list of some megabytes takes seconds; its spans are those of its lines."""
+    import time
+
+    line = "Jo +1 (743) 555-3824, jo.roe@mail.example.com, 192.0.2.17, call 1 (743) 555-3824\n"
+    field = P.train(P.personal_examples() * 20)
+    short, _ = P.all_spans([line * 50], field, P.PiiParams())
+    start = time.perf_counter()
+    base, more = P.all_spans([line * 30_000], field, P.PiiParams())
+    assert time.perf_counter() - start < 90 and len(base[0]) == 30_000 * 3 and len(short[0]) == 150
+    want = {(k, a % len(line)) for k, a, _ in base[0]}
+    assert want == {("phone", 3), ("email", 22), ("ip", 47)}
+    spans = sorted((a, b) for _, a, b in base[0] + more[0])
+    assert len(more[0]) > 20_000 and all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))  # the fourth of a line; none overlaps
+    frame = spark.createDataFrame([(1, line * 50, "x", "y")], "doc_id long, text string, pii_text string, base string")
+    assert P.find_pii(frame, field).columns == ["doc_id", "text", "pii_text", "base", "added"]
+
+
+def test_pii_learns_from_the_examples_by_hand():
+    field = P.train(P.personal_examples() * 20)
+    texts = ["mobile (310) 555-0142 please", "we pay with 4111.1111.1111.1111 here", "mail: roe @ example.com today", "room 12 of 34 on page 141", "it took 1200 ms in 2019"]
+    base, more = P.all_spans(texts, field, P.PiiParams())
+    assert base == [[], [], [], [], []] and [[k for k, _, _ in m] for m in more] == [["phone"], ["card"], ["email"], [], []]
+
+
 def test_pii_field_finds_other_spellings():
     r = random.Random(4)
     rows = []
@@ -155,6 +190,36 @@ def test_secrets(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_secrets_of_a_long_text(spark):
+    """Places of very many findings in one text, repeated rows, rows of no id: each by where it was put."""
+    r = random.Random(13)
+    text, want = "", []
+    for k in range(20_000):
+        text += r.choice(["é and then ", "so ", "漢字 is "]) + r.choice(['token = "', "password: ", "commit "])
+        value = f"a{k:07d}b{r.randrange(10**9):09d}c"
+        want.append((len(text), len(text) + len(value), value))
+        text += value + r.choice(['" x ', " y "])
+    rows = [(1, text, "p"), (1, text, "p"), (None, "key = hunter2!x", None), (3, "", "p"), (4, None, "p")]
+    got = S.findings(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for i in (1, None):
+        mine = sorted((x["start"], x["end"], x["value"]) for x in got if x["doc_id"] == i)
+        assert mine == (sorted(want * 2) if i else [(6, 15, "hunter2!x")])
+    assert len(got) == 40_001
+
+
+def test_secrets_by_hand_tell_forms_and_places_apart(spark):
+    """A forest of the examples, on values and sentences that are in none of them."""
+    import hashlib
+
+    rows = []
+    for k in range(40):
+        value = hashlib.md5(str(k).encode()).hexdigest() + hashlib.md5(str(-k).encode()).hexdigest()[:8]
+        place, label = [('Then token = "{}" was', 1), ("see commit {} of", 0), ("digits {} here", 0), ("api_key: {}\n", 1)][k % 4]
+        rows.append((k, place.format(value if k % 4 != 2 else str(4 * 10**15 + k * 7919)), "p", label))
+    got = {x["doc_id"]: x["is_secret"] for x in S.secret_scan(spark.createDataFrame(rows, "doc_id long, text string, source string, label int")).collect()}
+    assert np.mean([got[i] == bool(y) for i, _, _, y in rows]) >= 0.95
+
+
 def test_named_secrets_of_any_form(spark):
     texts = {
         'password = "hunter2!" x': ["hunter2!"],
