@@ -276,8 +276,8 @@ def _open_buckets(members: DataFrame, known: DataFrame) -> DataFrame:
     """``grp, id, comp, n, query``: all members of the buckets that hold several components; queries are, once more, those not of the main one."""
     apart = cut(_apart(members, known), "apart")
     of = ["band", "h"]
-    several = apart.groupBy(*of).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("id")).alias("all"), F.count("*").alias("k")).where("lo != hi")
-    several = several.groupBy("all", "k").agg(F.min(F.struct(*of)).alias("one")).select("one.*")  # buckets of the same members are one
+    several = apart.groupBy(*of).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("all"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("too"), F.count("*").alias("k")).where("lo != hi")
+    several = several.groupBy("all", "too", "k").agg(F.min(F.struct(*of)).alias("one")).select("one.*")  # buckets of the same members are one
     rows = apart.join(several, of).select(F.xxhash64(*of).alias("grp"), "id", "comp", "n")
     parts = rows.groupBy("grp", "comp").agg(F.count("*").alias("k"))
     main = parts.groupBy("grp").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"))
