@@ -41,6 +41,21 @@ class MixParams:
     run: int = 64
 
 
+#: So many sources, of some sixty bytes each, may be sent to every task. Of more, each one's row is copied to so many salts.
+SENT_SOURCES, SALTS = 200_000, 64
+
+
+def with_sources(rows: DataFrame, of_sources: DataFrame, sources: int, key: str = "source_no") -> DataFrame:
+    """``rows`` (with ``row``) joined with a row for each source; a source that holds many rows does not meet its own in one task."""
+    left = of_sources.withColumnRenamed(key, "joined_key")
+    on = F.col(key).eqNullSafe(F.col("joined_key"))
+    if sources <= SENT_SOURCES:
+        return rows.join(F.broadcast(left), on).drop("joined_key")
+    left = left.withColumn("joined_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    return salted.join(left, on & (F.col("salt") == F.col("joined_salt"))).drop("joined_key", "salt", "joined_salt")
+
+
 def document_sizes(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """``row, doc_id, source, size``, written down: the only pass over the texts. ``row``: a number of each row's own, if there is one."""
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
@@ -178,7 +193,7 @@ def splitting_tree(quotas: DataFrame, sources: int, p: MixParams) -> DataFrame:
     return rows.select("source_no", F.col("node").alias("shard"), F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("first"), "blocks")
 
 
-def ordered_blocks(sizes: DataFrame, targets: DataFrame, p: MixParams) -> DataFrame:
+def ordered_blocks(sizes: DataFrame, targets: DataFrame, sources: int, p: MixParams) -> DataFrame:
     """All blocks with their place, and the words before them, in their source's random order.
 
     A source's blocks are dealt to buckets by their hash, numbered within buckets, and moved up by what
@@ -187,7 +202,7 @@ def ordered_blocks(sizes: DataFrame, targets: DataFrame, p: MixParams) -> DataFr
     buckets = max(1024, sizes.count() // p.bucket_rows)
     words = F.col("size") if p.block_words is None else F.least(F.lit(p.block_words), F.col("size") - F.col("block") * p.block_words)
     last = F.lit(0).cast("long") if p.block_words is None else F.floor((F.col("size") - 1) / p.block_words).cast("long")
-    rows = sizes.where("size > 0").join(targets.select(F.col("source").alias("of"), "source_no"), F.col("source").eqNullSafe(F.col("of")))
+    rows = with_sources(sizes.where("size > 0"), targets.select("source", "source_no"), sources, "source")
     blocks = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("words", words.cast("long"))
     h = F.xxhash64(F.lit(p.seed), F.coalesce("doc_id", F.lit(-1)), "size", "block")
     blocks = blocks.withColumn("h", h).withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets))).select("row", "source_no", "block", "words", "h", "bucket")
@@ -224,10 +239,11 @@ def mix(sizes: DataFrame, targets: DataFrame, p: MixParams = MixParams()) -> Dat
     Order a shard's blocks by ``shuffle_key`` for its local shuffle.
     """
     p = replace(p, shards=shards_for(targets, p))
-    placed = cut(ordered_blocks(sizes, targets, p), "mix-blocks")
+    sources = targets.count()
+    placed = cut(ordered_blocks(sizes, targets, sources, p), "mix-blocks")
     counts = placed.groupBy("source_no").agg(F.count("*").alias("n"))
     goal = targets.select("source_no", "source_size", F.rint("target").cast("long").alias("goal")).join(counts, "source_no")
-    wide = placed.join(goal, "source_no")
+    wide = with_sources(placed, goal, sources)
     rounds = F.floor(F.col("goal") / F.col("source_size")).cast("int")
     rest = F.col("goal") - F.col("source_size") * rounds - F.col("words_before")
     last = F.col("words") if p.block_words is None else F.least("words", rest)
@@ -235,7 +251,7 @@ def mix(sizes: DataFrame, targets: DataFrame, p: MixParams = MixParams()) -> Dat
     taken = wide.select("row", "source_no", "block", "place", "n", F.posexplode(takes).alias("epoch", "taken"))
     taken = taken.withColumn("rank", F.col("epoch") * F.col("n") + F.col("place"))
     quotas = cut(taken.groupBy("source_no").agg(F.count("*").alias("blocks")), "mix-quotas")  # a row for each source
-    tree = splitting_tree(quotas, targets.count(), p)
+    tree = splitting_tree(quotas, sources, p)
     key = F.xxhash64(F.lit(p.seed + 1), "shard", "source_no", "place", "epoch")
     first = F.col("block") * (p.block_words or 0)
     return dealt(taken, tree, p).select("row", "source_no", "block", "epoch", first.alias("first_word"), "taken", "shard", key.alias("shuffle_key"))
@@ -251,7 +267,7 @@ def mixing_report(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
     sizes = document_sizes(docs)
     targets = source_targets(sizes, p)
     taken = mix(sizes, targets, p).groupBy("row").agg(F.sum("taken").alias("taken"), F.array_sort(F.collect_set("shard")).alias("shards"))
-    known = sizes.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    known = with_sources(sizes, targets, targets.count(), "source")
     return known.join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "shards")
 
 

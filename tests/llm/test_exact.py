@@ -201,7 +201,7 @@ def test_lm_base(spark, frame, docs):
     assert lm_scoring(empty(spark)).count() == 0
 
 
-def test_mixing(spark, frame, docs):
+def test_mixing(spark, frame, docs, monkeypatch):
     sources = {r["doc_id"]: r["source"] for r in frame.select("doc_id", "source").collect()}
     size, of, target = B.targets([(i, t, sources[i]) for i, t in docs])
     got = by_id(mixing_report(frame, MixParams(block_words=16, shards=8)), "size", "source_size", "target", "taken")
@@ -212,6 +212,8 @@ def test_mixing(spark, frame, docs):
     assert all(abs(taken[s] - target[s]) <= 1 for s in of)
     again = by_id(mixing_report(frame.repartition(5), MixParams(block_words=16, shards=8)), "size", "source_size", "target", "taken")
     assert again == got
+    monkeypatch.setattr("radpref.llm.mixing.SENT_SOURCES", 2)  # sources joined by salts
+    assert by_id(mixing_report(frame, MixParams(block_words=16, shards=8)), "size", "source_size", "target", "taken") == got
     assert mixing_report(empty(spark)).count() == 0
 
 
