@@ -84,8 +84,15 @@ def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         prompt(1).alias("prompt"),
         F.struct(prompt(2).alias("prompt_text"), prompt(3).alias("prompt")).alias("generator_request"),
         F.struct(F.col("reward").cast("double").alias("score"), F.col("send").alias("send_to_curator")).alias("reward_signal"),
-        F.struct(F.when(F.col("path") == 0, 0).otherwise(F.col("o_orderkey") % 100).alias("agent_latency_ms"), F.lit(7.5).alias("generation_ms")).alias("timing"),
+        F.struct(F.when(F.col("path") == 0, 0).otherwise(F.col("o_orderkey") % 100).alias("agent_latency_ms"), F.lit(7.5).alias("generation_ms"), F.when(F.col("path") == 3, F.col("o_orderkey") % 50).alias("evaluation_ms")).alias("timing"),
+        F.struct(F.when(F.col("o_orderkey") % 5 == 0, " reflect-1").alias("model_version")).alias("reflector_response"),
+        F.when(F.col("o_orderkey") % 5 == 1, "reflect-2").alias("reflector_model"),
+        F.when(F.col("o_orderkey") % 3 == 0, "2026-01-02T03:04:05Z").alias("submitted_to_queue_at"),
+        F.when(F.col("o_orderkey") % 4 == 0, "2026-01-02 03:04:06 UTC").alias("approved_at"),
     ))
+    # every ninth payload is JSON text within a JSON string
+    inner = F.to_json(F.struct(payload.alias("x")))
+    payload = F.when(F.col("o_orderkey") % 9 == 0, F.substr(inner, F.lit(6), F.char_length(inner) - 6)).otherwise(payload)
     # few bytes a row, but much work: left to itself, Spark would put small tables into one task
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return both.repartition(parts, "o_orderkey").select(

@@ -58,6 +58,8 @@ VIEW_TERMS = {
     "supine": ("supine", "recumbent"),
 }
 SIZE_PATTERN = r"(?iU)(\d+\.?\d*)\s*(?:x|by)?\s*(\d+\.?\d*)?\s*(cm|mm|centimeters?|millimeters?)"
+#: What ``(?U)\s`` matches.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # --- end of fixed values ---
 
 
@@ -67,7 +69,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def blank(c: Column) -> Column:
@@ -80,9 +82,14 @@ def normalize(c: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.lower(strip(c)), r"(?U)\s+", " "), F.lit(""))
 
 
+def spaced(normal: Column) -> Column:
+    """A normalised text with its punctuation followed by one blank and preceded by none."""
+    return F.btrim(F.regexp_replace(normal, r" *([,.;:]) *", "$1 "))
+
+
 def normalize_for_distance(c: Column) -> Column:
-    """As :func:`normalize`, with punctuation followed by one blank and preceded by none."""
-    return strip(F.regexp_replace(F.regexp_replace(normalize(c), r"(?U)\s*([,.;:])\s*", "$1 "), r"(?U)\s+", " "))
+    """As :func:`normalize`, and :func:`spaced`."""
+    return spaced(normalize(c))
 
 
 def has_any(text: Column, terms: tuple[str, ...]) -> Column:
@@ -93,7 +100,9 @@ def has_any(text: Column, terms: tuple[str, ...]) -> Column:
 def has_term(text: Column, term: Column) -> Column:
     """Whether a term that is itself a column stands in the text as a whole word."""
     quoted = F.replace(term, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    return F.rlike(text, F.concat(F.lit(r"(?U)\b\Q"), quoted, F.lit(r"\E\b")))
+    whole = F.rlike(text, F.concat(F.lit(r"(?U)\b\Q"), quoted, F.lit(r"\E\b")))
+    # patterns of columns are compiled a row; most texts don't hold the term at all
+    return F.when(F.contains(text, term), whole).when(text.isNotNull() & term.isNotNull(), F.lit(False))
 
 
 def sentences(text: Column) -> Column:
@@ -140,14 +149,12 @@ def _first_case(pairs: list[tuple[Column, Column]]) -> Column:
 
 
 def side_of(location: Column) -> Column:
-    low = F.lower(strip(location))
-    return _first_case([(F.contains(low, F.lit(term)), F.lit(side)) for term, side in LOCATION_SIDES])
+    return let(F.lower(strip(location)), lambda low: _first_case([(F.contains(low, F.lit(term)), F.lit(side)) for term, side in LOCATION_SIDES]))
 
 
 def grade_of(severity: Column) -> Column:
-    low = F.lower(strip(severity))
-    fits = lambda key: (low != "") & (F.contains(low, F.lit(key)) | F.contains(F.lit(key), low))
-    return _first_case([(fits(key), F.lit(key)) for key in SEVERITY_TERMS])
+    fits = lambda low, key: (low != "") & (F.contains(low, F.lit(key)) | F.contains(F.lit(key), low))
+    return let(F.lower(strip(severity)), lambda low: _first_case([(fits(low, key), F.lit(key)) for key in SEVERITY_TERMS]))
 
 
 def _by_key(key: Column, sentence: Column, table: dict[str, tuple[str, ...]]) -> Column:
@@ -156,12 +163,22 @@ def _by_key(key: Column, sentence: Column, table: dict[str, tuple[str, ...]]) ->
 
 def side_matches(location: Column, sentence: Column) -> Column:
     """Null without a side or a sentence."""
-    return F.when(sentence.isNotNull(), _by_key(side_of(location), sentence, SIDE_TERMS))
+    return let(side_of(location), lambda side: side_said(side, sentence))
 
 
 def grade_matches(severity: Column, sentence: Column) -> Column:
     """Null without a known grade or a sentence."""
-    return F.when(sentence.isNotNull(), _by_key(grade_of(severity), sentence, SEVERITY_TERMS))
+    return let(grade_of(severity), lambda grade: grade_said(grade, sentence))
+
+
+def side_said(side: Column, sentence: Column) -> Column:
+    """Whether a sentence has a term of a side as :func:`side_of` gives it."""
+    return F.when(sentence.isNotNull() & side.isNotNull(), _by_key(side, sentence, SIDE_TERMS))
+
+
+def grade_said(grade: Column, sentence: Column) -> Column:
+    """Whether a sentence has a term of a grade as :func:`grade_of` gives it."""
+    return F.when(sentence.isNotNull() & grade.isNotNull(), _by_key(grade, sentence, SEVERITY_TERMS))
 
 
 def is_critical_grade(severity: Column) -> Column:

@@ -8,52 +8,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from radpref.functions.text import affirmed, assertion, blank, grade_matches, is_critical_grade, let, normalize, safe_rate, sentences, side_matches
+from radpref.functions.text import affirmed, assertion, blank, grade_of, grade_said, is_critical_grade, let, normalize, safe_rate, sentences, side_of, side_said
 
 #: Weights of the composite score: recall, critical capture, 1 - false negatives, side, grade. Fixed values.
 WEIGHTS = {"finding_recall": 0.30, "critical_finding_capture_rate": 0.25, "found": 0.20, "laterality_accuracy": 0.15, "severity_accuracy": 0.10}
 
 
 def with_sentences(events: DataFrame) -> DataFrame:
-    """Adds ``gen_affirmed`` and ``hum_affirmed``, and whether metrics can be had: findings, and a text that isn't blank."""
+    """Adds both texts normalised (``gen_normal``, ``hum_normal``), ``placed``, and whether metrics can be had: findings, and a text that isn't blank.
+
+    ``placed``: each finding ``f`` with its side, its grade, whether that is critical, and the sentences that
+    assert it (``g``, ``h``); null where nothing can be graded.
+    """
     able = (F.size("findings") >= 0) & (F.size(F.try_variant_get("structured_findings", "$", "array<variant>")) > 0) & ~(blank(F.col("generated")) & blank(F.col("human_impression")))
-    return events.withColumns({
-        "gen_affirmed": affirmed(sentences(normalize(F.col("generated")))),
-        "hum_affirmed": affirmed(sentences(normalize(F.col("human_impression")))),
-        "can_grade": F.coalesce(able, F.lit(False)),
-    })
+    out = events.withColumns({"gen_normal": normalize(F.col("generated")), "hum_normal": normalize(F.col("human_impression")), "can_grade": F.coalesce(able, F.lit(False))})
+    out = out.withColumns({"gen_affirmed": affirmed(sentences(F.col("gen_normal"))), "hum_affirmed": affirmed(sentences(F.col("hum_normal")))})
+
+    def place(f: Column) -> Column:
+        found = lambda label: F.struct(
+            f.alias("f"), side_of(f["location"]).alias("side"), grade_of(f["severity"]).alias("grade"), is_critical_grade(f["severity"]).alias("critical"),
+            assertion(label, F.col("gen_affirmed")).alias("g"), assertion(label, F.col("hum_affirmed")).alias("h"),
+        )
+        return let(F.lower(f["label"]), found)
+
+    return out.withColumn("placed", F.when(F.col("can_grade"), F.transform("findings", place)))
 
 
-def finding_checks(graded: DataFrame) -> Column:
+def finding_checks(placed: Column) -> Column:
     """One struct for each valid finding: mentioned, right side and right grade in either text, critical."""
 
-    def check(f: Column) -> Column:
-        label = F.lower(f["label"])
-        both = F.struct(assertion(label, F.col("gen_affirmed")).alias("g"), assertion(label, F.col("hum_affirmed")).alias("h"))
-        critical, present = is_critical_grade(f["severity"]), f["presence"] == "present"
+    def check(x: Column) -> Column:
+        f = x["f"]
+        urgent = (f["presence"] == "present") & x["critical"]
         none = F.lit(None).cast("string")
-        return let(both, lambda s: F.struct(
+        return F.struct(
             none.alias("finding_id"),
             f["label"].alias("label"),
             f["presence"].alias("presence"),
             f["severity"].alias("severity"),
             f["location"].alias("location"),
             none.alias("normalized_finding_type"),
-            s["g"].isNotNull().alias("mentioned_in_generated"),
-            s["h"].isNotNull().alias("mentioned_in_human"),
-            side_matches(f["location"], s["g"]).alias("laterality_match_generated"),
-            side_matches(f["location"], s["h"]).alias("laterality_match_human"),
-            grade_matches(f["severity"], s["g"]).alias("severity_match_generated"),
-            grade_matches(f["severity"], s["h"]).alias("severity_match_human"),
-            critical.alias("is_critical"),
-            (present & critical & s["g"].isNotNull()).alias("critical_captured_generated"),
-            (present & critical & s["h"].isNotNull()).alias("critical_captured_human"),
+            x["g"].isNotNull().alias("mentioned_in_generated"),
+            x["h"].isNotNull().alias("mentioned_in_human"),
+            side_said(x["side"], x["g"]).alias("laterality_match_generated"),
+            side_said(x["side"], x["h"]).alias("laterality_match_human"),
+            grade_said(x["grade"], x["g"]).alias("severity_match_generated"),
+            grade_said(x["grade"], x["h"]).alias("severity_match_human"),
+            x["critical"].alias("is_critical"),
+            (urgent & x["g"].isNotNull()).alias("critical_captured_generated"),
+            (urgent & x["h"].isNotNull()).alias("critical_captured_human"),
             none.alias("generated_evidence"),
             none.alias("human_evidence"),
             none.alias("reasoning"),
-        ))
+        )
 
-    return F.transform("findings", check)
+    return F.transform(placed, check)
 
 
 def composite(rates: dict[str, Column]) -> Column:
@@ -147,6 +156,6 @@ def _and(*keeps):
 
 def clinical_accuracy(graded: DataFrame) -> DataFrame:
     """Adds ``clinical_accuracy``; null where nothing can be graded."""
-    out = graded.withColumn("checks", F.when(F.col("can_grade"), finding_checks(graded)))
+    out = graded.withColumn("checks", finding_checks(F.col("placed")))
     result = let(F.col("checks"), lambda c: summarize(c, ~blank(F.col("generated")), ~blank(F.col("human_impression"))))
     return out.withColumn("clinical_accuracy", F.when(F.col("checks").isNotNull(), result))

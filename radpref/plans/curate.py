@@ -7,50 +7,72 @@ events are kept, with empty metrics.
 from __future__ import annotations
 
 import os
-import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from radpref.functions import variants as V
-from radpref.functions.text import let
 from radpref.operators.clinical import clinical_accuracy, with_sentences
 from radpref.operators.extract import extract, findings, parse_payload
 from radpref.operators.feedback import SKIP_NOTE, estimated_cost, human_feedback, readiness, reward_label
 from radpref.operators.fields import field_performance
 from radpref.operators.judge import judged_accuracy
 from radpref.schemas import OUTPUT_COLUMNS, to_events
+from radpref.sources.events import fetch
 
 _JSON = {"ignoreNullFields": "false"}
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``mode``: "python" grades by rules, "llm" by stored judge answers. ``strict``: bad events fail the job instead of being marked."""
+    """``mode``: "python" grades by rules, "llm" by stored judge answers. ``strict``: bad events fail the job instead of being marked.
+
+    ``source`` and ``sink``: a path or the name of a table each. ``project`` and ``api_key`` are what a judge's provider needs.
+    """
 
     mode: str = "python"
     provider: str = "vertexai"
     strict: bool = False
+    model: str | None = None
+    project: str | None = None
+    location: str = "us-central1"
+    api_key: str | None = field(default=None, repr=False)
+    source: str | None = None
+    sink: str | None = None
+    app_name: str = "radpref"
+    environment: str = "development"
 
     @staticmethod
     def from_env() -> Settings:
-        return Settings(mode=os.environ.get("CLINICAL_ACCURACY_MODE", "python").strip().lower(), provider=os.environ.get("LLM_PROVIDER", "vertexai"))
-
-
-def counted(df: DataFrame, name: str, **counts: Column) -> DataFrame:
-    """``df`` with counts that listeners get with each action, under a name of this call's own.
-
-    It also keeps what is above apart from what is below: a filter on a metric is then tested on the
-    metric, not on a copy of all the formulas that lead to it.
+        get = os.environ.get
+        return Settings(
+            mode=get("CLINICAL_ACCURACY_MODE", "python").strip().lower(),
+            provider=get("LLM_PROVIDER", "vertexai").strip().lower(),
+            model=get("LLM_MODEL_NAME", "").strip() or None,
+            project=get("GOOGLE_CLOUD_PROJECT"),
+            location=get("GOOGLE_CLOUD_LOCATION", "us-central1"),
+            api_key=get("GOOGLE_API_KEY"),
+            source=get("RADPREF_SOURCE"),
+            sink=get("RADPREF_SINK"),
+            app_name=get("APP_NAME", "radpref"),
+            environment=get("ENV", "development"),
+        )
+
+
+def held(df: DataFrame, *passed: str) -> DataFrame:
+    """``df`` with all columns but ``passed`` worked out here, once a row, as the one element of an array that is taken apart again.
+
+    A filter on a metric is then tested on the metric, not on copies of all the formulas that lead to it.
+    One on passed columns still reaches the scan.
     """
-    return df.observe(f"{name}-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in counts.items()])
+    return df.select(*passed, F.inline(F.array(F.struct(*[c for c in df.columns if c not in passed]))))
 
 
 def prepare(events: DataFrame) -> DataFrame:
     """Events with everything extracted and split that grading needs."""
-    parsed = counted(parse_payload(to_events(events)), "parsed", skipped=F.col("is_skipped"), payload_failed=F.col("payload_failed"))
-    return counted(with_sentences(findings(extract(parsed))), "prepared", gradable=F.col("can_grade"), without_prompt=F.col("prompt_text").isNull())
+    events = to_events(events)
+    return held(with_sentences(findings(extract(held(parse_payload(events), *events.columns)))), *events.columns)
 
 
 def grade(prepared: DataFrame, settings: Settings = Settings(), answers: DataFrame | None = None) -> DataFrame:
@@ -145,10 +167,27 @@ def curate(events: DataFrame, settings: Settings = Settings(), answers: DataFram
     if settings.strict:
         error = F.when(wrong.isNotNull(), F.raise_error(wrong).cast("string")).otherwise(error)
     keep = ["request_id", "event_id", "tenant_id", "site_id", "decision", "disposition", "actual_route", "expected_route", "actual_scope_key", "expected_scope_key", "modality", "body_part"]
-    # worked out once a row, whichever and however many of its fields are read later
-    whole = let(F.col("request_id"), lambda _: response)
-    out = g.select(*keep, whole.alias("response"), F.coalesce(error, none).alias("error"))
-    return counted(out, "curated", dpo_ready=F.col("response.readiness.is_dpo_ready"), errors=F.col("error").isNotNull())
+    event = [c for c in keep if c not in ("modality", "body_part")]
+    return held(g.select(*keep, response.alias("response"), F.coalesce(error, none).alias("error")), *event)
+
+
+class NotFoundError(LookupError):
+    """No event of the request."""
+
+
+def curate_one(events: DataFrame, request_id: str, settings: Settings = Settings(), answers: DataFrame | None = None) -> DataFrame:
+    """The response to one request, by key: one row of :func:`curate`, worked out already.
+
+    Without an event of that key :class:`NotFoundError`; an event that can't be curated comes back with its
+    ``error``, or fails with :class:`ValueError` in strict mode.
+    """
+    out = curate(fetch(events, request_id), replace(settings, strict=False), answers).limit(1)
+    row = out.select("error", out.columns[0]).first()
+    if row is None:
+        raise NotFoundError(f"no event of request {request_id}")
+    if settings.strict and row["error"]:
+        raise ValueError(row["error"])
+    return out
 
 
 def flatten(curated: DataFrame, created_at: Column | None = None) -> DataFrame:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radpref.derived import ITEMS, REQUESTS, derived_events, derived_judgments
 from radpref.functions import text as T
 from radpref.functions import variants as V
-from radpref.operators.feedback import edit_distance
+from radpref.operators.feedback import edit_distance, share_of
 from radpref.plans.curate import Settings, curate, flatten, prepare
 from radpref.plans.rollups import rollup_findings, rollup_requests
-from radpref.schemas import EVENT
+from radpref.shared import shared_dir
 from radpref.sources.events import fetch
 from radpref.sources.output import training_records
 from radpref.streaming.stream import curate_stream, read_stream
@@ -92,23 +92,13 @@ def feedback_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hf.select("request_id", "hf.*")
 
 
-def _turn_edits(spark: SparkSession, sf_dir: str, part: Callable[[Column], Column]) -> DataFrame:
+def conversation_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit distance of each turn and the one before it, over the code points of the whole texts; of a repeated turn the least text."""
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet").groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
-    plain = T.normalize_for_distance(part(F.coalesce("text", F.lit(""))))
-    now = c.select("conv_id", "turn", plain.alias("now"))
+    now = c.select("conv_id", "turn", T.normalize_for_distance(F.coalesce("text", F.lit(""))).alias("now"))
     before = now.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("now").alias("before"))
-    distance, share = edit_distance(F.col("before"), F.col("now"))
-    return now.join(before, ["conv_id", "turn"]).select("conv_id", "turn", distance.alias("distance"), share.alias("share"))
-
-
-def conversation_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edit distance of each turn and the one before it, on the ASCII part of the texts: all that DuckDB's bytewise distance can check."""
-    return _turn_edits(spark, sf_dir, lambda text: F.regexp_replace(text, r"[^\x20-\x7E]", ""))
-
-
-def conversation_edits_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edit distance of each turn and the one before it, over the code points of the whole texts."""
-    return _turn_edits(spark, sf_dir, lambda text: text)
+    both = now.join(before, ["conv_id", "turn"]).withColumn("distance", edit_distance(F.col("before"), F.col("now"))[0])
+    return both.select("conv_id", "turn", "distance", share_of(F.col("distance"), F.col("before"), F.col("now")).alias("share"))
 
 
 def training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +111,33 @@ def output_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(curate(derived_events(spark, sf_dir))).select(*_FLAT)
 
 
+#: Columns of the output table that :func:`output_rows` leaves out, but for the JSON ones below and the time of the run.
+_REST = ["event_id", "decision", "actual_route", "expected_route", "actual_scope_key", "expected_scope_key", "preferred_output", "dispreferred_output", "missing_fields", "latency_ms", "has_generated_output", "has_human_reference", "finding_precision_generated", "critical_finding_capture_rate_generated", "laterality_accuracy_generated", "severity_accuracy_generated", "missed_findings_generated", "missed_critical_generated", "hallucinated_findings_generated", "total_tokens", "prompt_tokens", "completion_tokens", "estimated_cost_usd", "reflector_model_version", "clinical_accuracy_mode", "eval_latency_ms", "dpo_record"]
+_JSON_PATHS = {
+    "recall_human": ("clinical_accuracy_json", "$.finding_recall_human", "double"),
+    "findings_checked": ("clinical_accuracy_json", "$.total_findings_checked", "long"),
+    "first_label": ("finding_checks_json", "$[0].label", "string"),
+    "first_mentioned": ("finding_checks_json", "$[0].mentioned_in_human", "boolean"),
+    "field_checks": ("field_performance_json", "$.total_field_checks", "long"),
+    "feedback_disposition": ("human_feedback_json", "$.disposition", "string"),
+    "feedback_reward": ("human_feedback_json", "$.curator_reward_score", "double"),
+    "analytics_recall": ("analytics_json", "$.clinical_accuracy.finding_recall_generated", "double"),
+    "analytics_errors": ("analytics_json", "$.field_performance.total_field_errors", "long"),
+    "response_skipped": ("curator_response", "$.trace.skipped", "boolean"),
+    "response_status": ("curator_response", "$.trace.status", "string"),
+    "response_prompt": ("curator_response", "$.training_example.prompt_input.prompt_text", "string"),
+    "response_ready": ("curator_response", "$.readiness.is_dpo_ready", "boolean"),
+}
+
+
+def output_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other columns of the output table, the JSON ones by values within them."""
+    rows = flatten(curate(derived_events(spark, sf_dir)))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    within = [F.get_json_object(c, path).cast(kind).alias(name) for name, (c, path, kind) in _JSON_PATHS.items()]
+    return rows.select("request_id", *_REST, stamp("submitted_to_queue_at"), stamp("human_approved_at"), F.col("created_at").isNotNull().alias("has_created_at"), *within)
+
+
 def tenant_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and mean scores by tenant and disposition."""
     return rollup_requests(flatten(curate(derived_events(spark, sf_dir))), "tenant_id", "disposition")
@@ -141,17 +158,16 @@ def judge_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The output rows again, by way of a stream into the append-only table."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    path = f"{base.rstrip('/')}/stream-{spark.sql('select uuid()').first()[0]}"
+    path = shared_dir(spark, "stream")
     derived_events(spark, sf_dir).write.parquet(f"{path}/in")
     curate_stream(read_stream(spark, f"{path}/in"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out").select(*_FLAT)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, conversation_edits, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
-NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits_whole,)}
+NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
 
 # --- the same in DuckDB's SQL ---
 
@@ -337,8 +353,31 @@ _ROWS = f"{_ALL}, {_OUTPUT} SELECT {', '.join(_FLAT)} FROM output"
 _SOURCE = "CASE WHEN gen IS NULL THEN NULL WHEN NOT nested THEN 'generated_impression' WHEN path < 2 THEN 'input_payload_json.generator_response.output.impression_text' ELSE 'input_payload_json.impression_text' END"
 _MEANS = ", ".join(f"{_even(f'(sum(cast(round({c} * 10000) AS bigint)) / (10000.0 * count({c}))::double)', 6)} AS mean_{c}" for c in ("clinical_accuracy_score", "finding_recall_generated", "false_negative_rate_generated", "overall_field_error_rate", "curator_reward_score"))
 
+_JSON_LIST = lambda c: f"'[' || coalesce(string_agg('\"' || label || '\"', ',' ORDER BY pos) FILTER (WHERE {c}), '') || ']'"
+_QUOTED = lambda c: f"cast(to_json({c}) AS varchar)"
+_SENT = lambda c: f"CASE WHEN send THEN {c} END"
+_DETAILS = f"""{_ALL}, {_OUTPUT}, lists AS (SELECT request_id, {_JSON_LIST("presence = 'present' AND NOT mentioned_in_generated")} AS missed_f,
+  {_JSON_LIST("presence = 'present' AND is_critical AND NOT mentioned_in_generated")} AS missed_c,
+  max(label) FILTER (WHERE pos = 1) AS first_label, bool_or(mentioned_in_human) FILTER (WHERE pos = 1) AS first_mentioned FROM checks GROUP BY 1)
+SELECT r.request_id, cast(NULL AS varchar) AS event_id, 'PASS' AS decision, cast(NULL AS varchar) AS actual_route, cast(NULL AS varchar) AS expected_route,
+  cast(NULL AS varchar) AS actual_scope_key, cast(NULL AS varchar) AS expected_scope_key, {_SENT("hum")} AS preferred_output, {_SENT("gen")} AS dispreferred_output,
+  CASE WHEN NOT send THEN '["send_to_curator=False — row skipped"]' ELSE '[' || concat_ws(',', CASE WHEN gen IS NULL THEN '"generated_impression"' END, CASE WHEN hum IS NULL THEN '"human_impression"' END, CASE WHEN prompt IS NULL THEN '"prompt_text"' END) || ']' END AS missing_fields,
+  cast(NULL AS double) AS latency_ms, send AND gen IS NOT NULL AS has_generated_output, send AND hum IS NOT NULL AS has_human_reference,
+  a.finding_precision_generated, a.critical_finding_capture_rate_generated, a.laterality_accuracy_generated, a.severity_accuracy_generated,
+  missed_f AS missed_findings_generated, missed_c AS missed_critical_generated, CASE WHEN l.request_id IS NOT NULL THEN '[]' END AS hallucinated_findings_generated,
+  0::bigint AS total_tokens, 0::bigint AS prompt_tokens, 0::bigint AS completion_tokens, cast(NULL AS double) AS estimated_cost_usd,
+  {_SENT("CASE o_orderkey % 5 WHEN 0 THEN 'reflect-1' WHEN 1 THEN 'reflect-2' END")} AS reflector_model_version, {_SENT("'python'")} AS clinical_accuracy_mode,
+  {_SENT("CASE WHEN path = 3 THEN cast(o_orderkey % 50 AS double) END")} AS eval_latency_ms,
+  CASE WHEN send AND dpo THEN '{{"prompt":' || {_QUOTED("prompt")} || ',"chosen":' || {_QUOTED("hum")} || ',"rejected":' || {_QUOTED("gen")} || '}}' END AS dpo_record,
+  {_SENT("CASE WHEN o_orderkey % 3 = 0 THEN '2026-01-02 03:04:05' END")} AS submitted_to_queue_at, {_SENT("CASE WHEN o_orderkey % 4 = 0 THEN '2026-01-02 03:04:06' END")} AS human_approved_at,
+  true AS has_created_at, a.finding_recall_human AS recall_human, a.total_findings_checked AS findings_checked, first_label, first_mentioned, fields.total_field_checks AS field_checks,
+  f.disposition AS feedback_disposition, f.curator_reward_score AS feedback_reward, a.finding_recall_generated AS analytics_recall, fields.total_field_errors AS analytics_errors,
+  NOT send AS response_skipped, {_SENT("CASE WHEN dpo THEN 'ready' ELSE 'incomplete' END")} AS response_status, CASE WHEN send AND dpo THEN prompt END AS response_prompt, send AND dpo AS response_ready
+FROM ready r LEFT JOIN feedback f USING (request_id) LEFT JOIN accuracy a USING (request_id) LEFT JOIN fields USING (request_id) LEFT JOIN lists l USING (request_id)"""
+
 ORACLES: dict[str, str] = {
     "output_rows": _ROWS,
+    "output_details": _DETAILS,
     "streamed_output": _ROWS,
     "event_lookup": f"{_GRADED} SELECT request_id, tenant_id, site_id, disposition, CASE WHEN NOT nested THEN gen END AS generated_impression, hum AS human_impression FROM full_req WHERE request_id = '1'",
     "payload_extraction": f"""{_GRADED} SELECT request_id, gen AS generated, {_SOURCE} AS generator_output_source, coalesce({_SOURCE} <> 'generated_impression', false) AS fallback_used,
@@ -360,10 +399,6 @@ SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_negated, 0)
     "clinical_accuracy": f"{_accuracy_sql()} SELECT request_id, {', '.join([*_ACCURACY, *_COUNTS])}, missed FROM accuracy",
     "field_performance": f"{_GRADED}, {_fields_sql()} SELECT * FROM fields",
     "feedback_rewards": f"{_accuracy_sql()}, {_FEEDBACK} SELECT * FROM feedback",
-    "conversation_edits": rf"""WITH c AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY 1, 2),
-now AS (SELECT conv_id, turn, {_plain("regexp_replace(coalesce(text, ''), '[^ -~]', '', 'g')")} AS now FROM c),
-d AS (SELECT a.conv_id, a.turn, a.now, b.now AS before, CASE WHEN a.now <> '' AND b.now <> '' THEN levenshtein(b.now, a.now) END AS distance FROM now a JOIN now b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1)
-SELECT conv_id, turn, distance, CASE WHEN distance IS NOT NULL THEN round_even(cast(distance AS double) / greatest(length(now), length(before), 1), 4) END AS share FROM d""",
     "training_export": f"{_ALL}, {_OUTPUT} SELECT prompt_text AS prompt, hum AS chosen, gen AS rejected FROM output JOIN full_req USING (request_id) WHERE is_dpo_training_ready",
     "tenant_rollup": f"""{_ALL}, {_OUTPUT} SELECT tenant_id, disposition, count(*) AS requests, count(*) FILTER (WHERE has_dpo_pair) AS with_pair, count(*) FILTER (WHERE is_dpo_ready) AS dpo_ready,
   count(*) FILTER (WHERE is_dpo_training_ready) AS training_ready, {_MEANS} FROM output GROUP BY 1, 2""",

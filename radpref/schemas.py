@@ -62,6 +62,29 @@ REQUEST = f"""request_id string, tenant_id string, site_id string,
     observation_payload: struct<structured_findings: array<{FINDING}>>, attached_docs: array<struct<type: string, text: string>>>"""
 
 
+PRESENCES = ("present", "absent", "uncertain")
+MODALITIES = ("CR", "DX", "CT", "MR", "US", "NM", "MG", "XA", "OT")
+LATERALITIES = ("L", "R", "B", "U")
+
+
+def request_faults(request: Column) -> Column:
+    """What is wrong with a request struct of type ``REQUEST``: an array of words, empty if nothing is."""
+    wrong = lambda value, allowed: value.isNotNull() & ~value.isin(*allowed)
+    found = request["inputs"]["observation_payload"]["structured_findings"]
+    some = lambda keep: F.coalesce(F.exists(found, keep), F.lit(False))
+    exam = request["case"]["exam"]
+    tests = {
+        "no request_id": F.coalesce(request["request_id"], F.lit("")) == "",
+        "no accession_number": request["case"].isNotNull() & request["case"]["accession_number"].isNull(),
+        "unknown modality": wrong(exam["modality"], MODALITIES),
+        "unknown laterality": wrong(exam["laterality"], LATERALITIES),
+        "finding without label": some(lambda f: f["label"].isNull()),
+        "unknown presence": some(lambda f: f["presence"].isNull() | ~f["presence"].isin(*PRESENCES)),
+        "confidence not within 0 and 1": some(lambda f: F.coalesce(~f["confidence"].between(0.0, 1.0), F.lit(False))),
+    }
+    return F.filter(F.array(*[F.when(F.coalesce(t, F.lit(False)), F.lit(k)) for k, t in tests.items()]), lambda x: x.isNotNull())
+
+
 def is_event(df: DataFrame) -> bool:
     return set(EVENT_COLUMNS) <= set(df.columns)
 

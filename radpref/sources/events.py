@@ -58,5 +58,18 @@ def read_json_file(spark: SparkSession, path: str) -> DataFrame:
     return to_events(spark.read.text(path, wholetext=True).select(root.alias("root")).select(*[c.alias(n) for n, c in shown.items()]))
 
 
-def available(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
+def available(spark: SparkSession, place: str | None) -> bool:
+    """Whether a table of that name, or else a path, is there to be read or written."""
+    if not place:
+        return False
+    if "/" not in place and spark.catalog.tableExists(place):
+        return True
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    try:
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    except Exception:  # noqa: BLE001  a store that can't be reached is not available
+        return False
+
+
+def health(spark: SparkSession, source: str | None, sink: str | None) -> dict[str, bool]:
+    return {"source_available": available(spark, source), "sink_available": available(spark, sink)}

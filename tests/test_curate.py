@@ -4,11 +4,11 @@ import json
 
 import pytest
 
-from radpref.operators.judge import ask_judge, parse_evaluation, prompts
-from radpref.plans.curate import Settings, curate, flatten, latest, prepare
+from radpref.operators.judge import ask_judge, choose_provider, json_object_in, parse_evaluation, prompts
+from radpref.plans.curate import NotFoundError, Settings, curate, curate_one, flatten, latest, prepare
 from radpref.plans.rollups import observed
-from radpref.schemas import OUTPUT_COLUMNS
-from radpref.sources.events import fetch, fetch_sql, from_rows, read_json_file
+from radpref.schemas import OUTPUT_COLUMNS, REQUEST, request_faults
+from radpref.sources.events import fetch, fetch_sql, from_rows, health, read_events, read_json_file
 from radpref.sources.output import append_output, export_training, training_records
 from radpref.streaming.stream import curate_stream, read_stream
 from pyspark.sql import functions as F
@@ -190,10 +190,86 @@ def test_sources_and_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "x")).count() == training_records(out).count() == 2
 
 
+def test_repeated_answers_count_once(spark):
+    """Of several stored answers the last; an event stays one row."""
+    findings = [{"label": "Mass", "presence": "present"}]
+    said = lambda status: json.dumps({"finding_judgments": [{"finding_id": "finding_1", "label": "Mass", "presence": "present", "is_critical": False, "generated": side(status), "human": side(status)}]})
+    answers = spark.createDataFrame(
+        [("a", said("mentioned"), 5, "2026-01-02 00:00:00"), ("a", said("negated"), 7, "2026-01-03 00:00:00"), ("a", said("negated"), 7, "2026-01-03 00:00:00"), ("b", None, 1, "2026-01-04 00:00:00"), ("b", said("mentioned"), 2, "2026-01-01 00:00:00")],
+        "request_id string, answer string, prompt_tokens long, answered_at string",
+    )
+    out = {r["request_id"]: r for r in curate(from_rows(spark, [event("a", findings), event("b", findings)]), Settings(mode="llm"), answers).collect()}
+    assert len(out) == 2 and out["a"]["response"]["analytics"]["prompt_tokens"] == 7
+    recall = {k: r["response"]["analytics"]["clinical_accuracy"]["finding_recall_generated"] for k, r in out.items()}
+    assert recall == {"a": 0.0, "b": 1.0}  # an answer that failed doesn't hide one that didn't
+
+
+def test_prompt_states_the_rules(spark):
+    text = prompts(prepare(from_rows(spark, [event(findings=FINDINGS)]))).first()["judge_prompt"]
+    for rule in ("Cannot exclude", "rule it out", "sentence", "is_critical", "critical_captured", "no percentages", "hallucinated_findings_human", "agreement_common_finding_ids", "INPUT:"):
+        assert rule in text, rule
+
+
+def test_provider():
+    assert [choose_provider(*x) for x in (("vertexai", True, True), ("genai", True, True), (" GenAI ", False, True), ("other", True, False), (None, False, True))] == ["vertexai", "genai", "genai", "vertexai", "genai"]
+    with pytest.raises(RuntimeError):
+        choose_provider("vertexai", False, False)
+
+
+@pytest.mark.parametrize(("answer", "found"), [('```json\n{"a": 1}\n```', '{"a": 1}'), ('Here: {"a": {"b": 2}} as asked', '{"a": {"b": 2}}'), ("none", "none"), ("```\n{}\n```", "{}")])
+def test_json_of_an_answer(spark, answer, found):
+    assert spark.createDataFrame([(answer,)], "a string").select(json_object_in(F.col("a"))).first()[0] == found
+
+
+def test_curate_one(spark):
+    events = from_rows(spark, [event("a", findings=FINDINGS), event("zero", findings=[{"label": "Nodule", "presence": "present", "measurements": {"size_mm": 0}}])])
+    assert curate_one(events, "a").first()["response"]["readiness"]["is_dpo_ready"]
+    assert curate_one(events, "zero").first()["error"]
+    with pytest.raises(NotFoundError):
+        curate_one(events, "b")
+    with pytest.raises(ValueError, match="size of 0"):
+        curate_one(events, "zero", Settings(strict=True))
+
+
+def test_health(spark, tmp_path):
+    spark.range(1).createOrReplaceTempView("some_events")
+    assert health(spark, "some_events", str(tmp_path)) == {"source_available": True, "sink_available": True}
+    assert health(spark, None, f"{tmp_path}/none") == {"source_available": False, "sink_available": False}
+
+
+def test_settings_of_the_environment(monkeypatch):
+    monkeypatch.setenv("CLINICAL_ACCURACY_MODE", " LLM ")
+    monkeypatch.setenv("LLM_MODEL_NAME", "m")
+    monkeypatch.setenv("GOOGLE_API_KEY", "k")
+    got = Settings.from_env()
+    assert (got.mode, got.model, got.api_key) == ("llm", "m", "k") and "'k'" not in repr(got)
+
+
+def test_request_faults(spark):
+    good = {"request_id": "r", "case": {"accession_number": "1", "exam": {"modality": "DX"}}, "inputs": {"observation_payload": {"structured_findings": [{"label": "a", "presence": "present", "confidence": 1.0}]}}}
+    bad = {"case": {"exam": {"modality": "ZZ", "laterality": "X"}}, "inputs": {"observation_payload": {"structured_findings": [{"presence": "maybe", "confidence": 1.5}]}}}
+    rows = spark.createDataFrame([(json.dumps(good),), (json.dumps(bad),), ("{}",)], "t string").select(request_faults(F.from_json("t", REQUEST)))
+    got = [r[0] for r in rows.collect()]
+    assert got[0] == [] and len(got[1]) == 7 and got[2] == ["no request_id"]
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    """A key or tenant is pushed down to the files; columns that nothing asks for are not read; filters on metrics copy no formulas."""
+    from_rows(spark, [event("a", findings=FINDINGS), event("b")]).write.parquet(str(tmp_path / "e"))
+    out = flatten(curate(read_events(spark, str(tmp_path / "e"))))
+    plan = out.where("tenant_id = 't' AND request_id = 'a'").select("request_id", "reward_score")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(tenant_id,t)" in plan and "EqualTo(request_id,a)" in plan and "has_embedding" not in plan
+    filtered = out.where("clinical_accuracy_score > 0.5 AND curator_reward_score > 0")
+    assert len(filtered._jdf.queryExecution().optimizedPlan().toString()) < 3 * len(out._jdf.queryExecution().optimizedPlan().toString())
+    assert [r["request_id"] for r in filtered.collect()] == ["a"]
+
+
 def test_stream(spark, tmp_path):
     events = from_rows(spark, [event("a", findings=FINDINGS), event("b", send=False)])
     events.write.parquet(str(tmp_path / "in"))
-    curate_stream(read_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    counts = {}
+    curate_stream(read_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "c"), counts=counts.__setitem__).awaitTermination()
+    assert (counts[0]["rows"], counts[0]["skipped"]) == (2, 1)
     got = spark.read.parquet(str(tmp_path / "out"))
     drop = ["created_at", "created_date"]
     assert sorted(map(str, got.drop(*drop).select(*[c for c in OUTPUT_COLUMNS if c not in drop]).collect())) == sorted(map(str, flatten(curate(events)).drop(*drop).collect()))

@@ -46,12 +46,12 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def test_conversation_edits_whole(spark, tmp_path):
+def test_conversation_edits(spark, tmp_path):
     import __spark_entry__
 
     texts = ["Über die Straße", "Uber die Strasse", "две строки\nи ещё\tодна", "две строки и еще одна", "漢字 と 😀", "漢宇 と 😁!", "eins\nzwei", "einszwei", "", None, "é , e", "e, é"]
     spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    got = {r["turn"]: r for r in __spark_entry__.queries()["conversation_edits_whole"](spark, str(tmp_path)).collect()}
+    got = {r["turn"]: r for r in __spark_entry__.queries()["conversation_edits"](spark, str(tmp_path)).collect()}
     assert set(got) == set(range(1, len(texts)))
     for i, r in got.items():
         a, b = (re.sub(r"\s+", " ", re.sub(r"\s*([,.;:])\s*", r"\1 ", re.sub(r"\s+", " ", (t or "").strip().lower()))).strip() for t in texts[i - 1 : i + 1])
