@@ -10,6 +10,7 @@ Files follow one another by ascending document id.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import uuid
@@ -35,6 +36,8 @@ ROWS_PER_BATCH = 256
 #: Words that a Python worker keeps ids of.
 _CACHE = 600_000
 _STOPS = {b".", b","}
+#: How the tokenizer that goes by words cuts a text into pieces. A fixed value.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def stored_as(vocabulary: int) -> np.dtype:
@@ -51,9 +54,31 @@ def is_plain(word: bytes) -> bool:
     return word.isascii() and word.islower() or ((t := word.decode()).lower() == t and unicodedata.is_normalized("NFC", t))
 
 
+def goes_by_words(path: str) -> bool:
+    """Whether a tokenizer file is of the make that :class:`WordEncoder` takes apart.
+
+    That is: composed and lower-cased text, pieces that are letters alone or hold none and never white
+    space, byte-level merges with a mark on a word's end, and special tokens that begin with "<".
+    """
+    with open(path, encoding="utf-8") as source:
+        made = json.load(source)
+    steps = lambda part, inner: [x["type"] for x in (made.get(part) or {}).get(inner, [])]
+    split = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+    return (
+        steps("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"]
+        and steps("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"]
+        and split.get("pattern", {}).get("Regex") == _PIECES
+        and made["model"]["type"] == "BPE"
+        and made["model"].get("end_of_word_suffix") == "</w>"
+        and all(t["content"].startswith("<") and not t["content"].split()[1:] for t in made.get("added_tokens", []))
+    )
+
+
 class WordEncoder:
     """Ids of whole texts, by words: this tokenizer's tokens never cross white space, and words come again.
 
+    A file of another make is left to the library, text by text.
+
     A word's ids are kept as bytes ready to be joined. Once there are too many, only words of the last two
     batches stay: those that are common. Letters with one full stop or comma behind them are two
     pieces that never join, so they share the work of the bare word; the tokenizer folds case. A word
@@ -64,11 +89,14 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.dtype = stored_as(self.tokenizer.get_vocab_size())
+        self.by_words = goes_by_words(path)
+        if not self.by_words:
+            return
         # plain words are as the normalizer would leave them, and one piece each: the same merges without those steps
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = None
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.dtype = stored_as(self.tokenizer.get_vocab_size())
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[k for t, k in vocab.items() if t.endswith("</w>")]] = True
@@ -116,6 +144,8 @@ class WordEncoder:
                         self.known[w] = ids if len(w) == len(k) else ids + self.stop[w[-1:]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_words:
+            return self._each([t.decode() for t in texts])
         split = [t.split() for t in texts]
         self.learn({w for ws in split for w in ws})
         return [b"".join(map(self.known.__getitem__, ws)) for ws in split]

@@ -291,6 +291,17 @@ def test_token_files(spark, tmp_path):
     assert O.token_output(frame.limit(0)).count() == 0
 
 
+def test_tokenizers_of_another_make_are_left_to_the_library():
+    from tokenizers import Tokenizer
+
+    assert O.goes_by_words(O.public_tokenizers.path(O.TOKENIZER))
+    path = O.public_tokenizers.path("byte_bpe_50k.json")
+    assert not O.goes_by_words(path)
+    e, whole = O.WordEncoder(path), Tokenizer.from_file(path)
+    texts = [t for t in TEXTS if t is not None] + ["Two  blanks and A Capital"]
+    assert [np.frombuffer(x, e.dtype).tolist() for x in e.encode([t.encode() for t in texts])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_encoder_forgets_and_still_agrees(monkeypatch):
     monkeypatch.setattr(O, "_CACHE", 50)
     e = O.WordEncoder(O.public_tokenizers.path(O.TOKENIZER))
