@@ -116,7 +116,7 @@ def train(texts: list[bytes], labels: list[int], p: ToxicityParams = ToxicityPar
     docs = [words_of(t) for t in texts]
     docs, y = [d for d in docs if d], np.array([v for d, v in zip(docs, labels, strict=True) if d], np.float64)
     if not docs or y.min() == y.max():
-        return ToxicityModel(np.zeros(p.buckets), float(np.log(y.mean() * 98 + 1) - np.log(99 - y.mean() * 98)) if docs else 0.0, p)
+        return ToxicityModel(np.zeros(p.buckets), float(np.log(y.mean() * 98 + 1) - np.log(99 - y.mean() * 98)) if docs else float(-np.log(99)), p)
     vocab: dict[bytes, int] = {}
     tokens = [np.array([vocab.setdefault(w, len(vocab)) for w in d]) for d in docs]
     ids, starts = subword_ids(list(vocab), p)
@@ -220,7 +220,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityPar
 
     Returns ``doc_id, held_out, score, predicted``. Nulls: a null text is an empty one; a null id counts
     as held out; labels other than 0 and 1 are not learnt from. Repeated rows are scored one by one.
-    Without labels of both classes every score is the share of label 1, or a half.
+    Without labels of both classes every score is near the share of label 1; without any, near 0.
     """
     model = fit(docs, labels, p)
     scored = score_documents(docs.select("doc_id", text_or_empty().alias("text")), model)

@@ -400,3 +400,24 @@ def test_pipeline(spark, tmp_path):
     assert left[3] <= left[2] and left[3]
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {x["doc_id"] for x in out} == left[3] and max(x["start"] + x["n_tokens"] for x in out) == sum(x["n_tokens"] for x in out)
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Rows of no id and of repeated ids, no labels, no benchmark, a clashing column; then no documents at all."""
+    r = random.Random(14)
+    rows = [(None if k % 4 == 0 else k % 10, words(r, 40), "en", "s", k, "x") for k in range(40)] + [(None, None, None, None, None, None), (77, "", "en", "s", 0, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, mix_shard string").write.parquet(f"{tmp_path}/a/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/a/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/a/benchmark.parquet")
+    kept, left = spark.read.parquet(f"{tmp_path}/a/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, f"{tmp_path}/a").checkpoint()
+        left.append(kept.collect())
+    assert [len(x) for x in left[:3]] == [42, 42, 42]
+    assert {x["text"] for x in left[3]} == {t for _, t, *_ in rows if t} and len(left[3]) > 50  # each at least once, half of them twice
+    ids = [x["doc_id"] for x in corpus_pipeline.run(spark, f"{tmp_path}/a").collect()]
+    assert len(ids) == len(left[3]) and ids.count(None) == sum(x["doc_id"] is None for x in left[3]) >= 10
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/a/{name}.parquet").write.parquet(f"{tmp_path}/b/{name}.parquet")
+    spark.read.parquet(f"{tmp_path}/a/documents.parquet").limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
