@@ -67,7 +67,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _WORD = r"[^\x20\x09-\x0D]"
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES: dict[str, str] = {
+    "op9_near_duplicates": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 3))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, c) AS (SELECT a, b FROM sides UNION SELECT r.doc_id, sides.b FROM reach r JOIN sides ON sides.a = r.c),
+least_of AS (SELECT doc_id, min(c) AS c FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(c, w.doc_id)) AS component_id, w.doc_id <= coalesce(c, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least_of USING (doc_id)""",
     "op6_benchmark_decontamination": f"""
 WITH w AS (SELECT doc_id, {_ITEM_WORDS} AS ws FROM documents),
 b AS (SELECT item_id, {_ITEM_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
