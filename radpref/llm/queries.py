@@ -70,6 +70,18 @@ _WORD = r"[^\x20\x09-\x0D]"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op5_suffix_dedup": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT doc_id, i, md5_number(h[i:i + 199]) AS k FROM (SELECT doc_id, h, unnest(generate_series(1, octet_length(h) - 199)) AS i FROM d WHERE octet_length(h) >= 200)),
+twice AS (SELECT k FROM w GROUP BY 1 HAVING count(*) > 1),
+starts AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM w SEMI JOIN twice USING (k)),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 199 AS b FROM (SELECT doc_id, i, sum(CASE WHEN i <= p + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM starts) GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS x, a - 1 AS y FROM runs
+  UNION ALL SELECT doc_id, max(b) + 1, max(octet_length(h)) FROM runs JOIN d USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(hex(h[x:y]), '' ORDER BY x) FILTER (WHERE y >= x) AS kept FROM gaps JOIN d USING (doc_id) GROUP BY 1),
+gone AS (SELECT doc_id, cast(sum(b - a + 1) AS bigint) AS n, count(*) AS k FROM runs GROUP BY 1)
+SELECT d.doc_id, octet_length(h) AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(k, 0) AS n_spans, sha256(CASE WHEN k IS NULL THEN h ELSE unhex(coalesce(kept, '')) END) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op9_near_duplicates": f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 3))) AS i FROM w WHERE len(ws) > 0)),
