@@ -67,6 +67,15 @@ def free_name(name: str, columns: list[str]) -> str:
     return name
 
 
+def with_rows(docs: DataFrame, row: str, name: str) -> DataFrame:
+    """``docs`` with a number of each row's own: its ``doc_id`` if all rows have one and none is repeated, else numbers that are
+    written down with the rows, so that a task run again doesn't number them otherwise."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    if ids.groupBy("id").count().where("count > 1 or id is null").isEmpty():
+        return docs.withColumn(row, F.col("doc_id").cast("long"))
+    return cut(docs.withColumn(row, F.monotonically_increasing_id()), name)
+
+
 def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """``df`` with numbers from 0 by an order, without sorting it in one task.
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from radpref.llm.common import cut, free_name, small_batches, slices, text_or_empty
+from radpref.llm.common import cut, free_name, slices, small_batches, text_or_empty, with_rows
 from radpref.llm.near_dedup import mixed
 
 WINDOW, SHINGLE = 10, 5
@@ -205,9 +205,9 @@ def find_windows(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
 
 
 def _rows(docs: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
-    """Documents with a number of their own, written down; and just numbers and texts."""
+    """Documents with a number of their own; and just numbers and texts."""
     small_batches(docs.sparkSession)
-    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
+    rows = with_rows(docs, row, "decontaminate-rows")
     return rows, rows.select(F.col(row).alias("row"), text_or_empty().cast("binary").alias("text"))
 
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from radpref.llm.common import cut, free_name, numbered
+from radpref.llm.common import cut, free_name, numbered, with_rows
 from radpref.llm.quality_rules import let
 
 
@@ -274,12 +274,12 @@ def mixing_report(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
 def mixed_documents(docs: DataFrame, p: MixParams = MixParams(block_words=None, shards=1, shard_words=8_000_000)) -> DataFrame:
     """The documents themselves, as often as the mix takes them, dealt to shards and shuffled within them.
 
-    Every row counts for itself, whether its id is missing or repeated: rows are numbered, and written down
-    with their numbers. A shard is one partition; documents without words are in none. Extra columns stay,
+    Every row counts for itself, whether its id is missing or repeated: such rows are numbered, and written
+    down with their numbers. A shard is one partition; documents without words are in none. Extra columns stay,
     whatever their names.
     """
     row, shard, key, mine = (free_name(n, docs.columns) for n in ("mix_row", "mix_shard", "mix_key", "mix_taken_row"))
-    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    rows = with_rows(docs, row, "mix-rows")
     sizes = document_sizes(rows, F.col(row))
     targets = source_targets(sizes, p)
     p = replace(p, shards=shards_for(targets, p), shard_words=None)
