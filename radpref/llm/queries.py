@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from radpref.llm.common import table
 from radpref.llm.decontamination import contamination_report
+from radpref.llm.lexical_search import lexical_search
 from radpref.llm.lm_scoring import lm_scoring
 from radpref.llm.mixing import mixing_report
 from radpref.llm.near_dedup import NearParams, near_duplicates
@@ -60,12 +61,17 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring)
+    f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring, op13_lexical_search)
 }
 
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _WORD = r"[^\x20\x09-\x0D]"
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -123,4 +129,14 @@ prior AS (SELECT mean, CASE WHEN between_hosts > 0 THEN least(greatest(mean * (1
 rate AS (SELECT source AS host, (k + mean * strength) / (n + strength) AS rate FROM h, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept, round(rate, 6) AS host_rate
 FROM r JOIN rate ON source IS NOT DISTINCT FROM host""",
+    "op13_lexical_search": f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+p AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS t FROM d) GROUP BY 1, 2),
+s AS (SELECT count(*) AS n_docs, cast(sum(len(ts)) AS bigint) AS n_terms FROM d WHERE len(ts) > 0),
+q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark)),
+w AS (SELECT t, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)::double)) AS bigint) AS w FROM p SEMI JOIN q USING (t), s GROUP BY t, n_docs),
+m AS (SELECT doc_id, 100 - 90 + ((90 * len(ts) * n_docs) // n_terms) AS m FROM d, s WHERE len(ts) > 0),
+r AS (SELECT item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS bigint) AS score FROM q JOIN w USING (t) JOIN p USING (t) JOIN m USING (doc_id) GROUP BY 1, 2),
+k AS (SELECT *, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS integer) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""",
 }
