@@ -13,6 +13,7 @@ from radpref.llm.lexical_search import lexical_search
 from radpref.llm.lm_scoring import lm_scoring
 from radpref.llm.mixing import mixing_report
 from radpref.llm.near_dedup import NearParams, near_duplicates
+from radpref.llm.phrases import collocations
 from radpref.llm.pii import pii
 from radpref.llm.quality_rules import quality_rules
 from radpref.llm.secret_scan import secret_scan
@@ -61,12 +62,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring, op13_lexical_search)
+    f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring, op11_phrases, op13_lexical_search)
 }
 
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -129,6 +134,21 @@ prior AS (SELECT mean, CASE WHEN between_hosts > 0 THEN least(greatest(mean * (1
 rate AS (SELECT source AS host, (k + mean * strength) / (n + strength) AS rate FROM h, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept, round(rate, 6) AS host_rate
 FROM r JOIN rate ON source IS NOT DISTINCT FROM host""",
+    "op11_phrases": f"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d, {_LOWER} AS s FROM documents),
+w AS (SELECT lang, d, i, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, d, unnest(ps) AS piece, unnest(range(len(ps))) AS i FROM (SELECT *, string_split_regex(s, '[.,;:!?\x0A-\x0D]') AS ps FROM t))),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY 1),
+f AS (SELECT lang, phrase, k, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY lang, phrase, k HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, k, ws, f AS a, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+x AS (SELECT c.*, p.f AS l, q.f AS r, cast(2000000::hugeint * a // (p.f + q.f) AS bigint) AS score FROM c
+  JOIN f p ON p.lang = c.lang AND p.phrase = array_to_string(c.ws[1:cut], ' ') JOIN f q ON q.lang = c.lang AND q.phrase = array_to_string(c.ws[cut + 1:], ' ')),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+part AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM (SELECT lang, ws, a, m, unnest(range(1, k - m + 2)) AS i FROM b, (SELECT unnest([2, 3]) AS m) WHERE k > m) GROUP BY 1, 2),
+kept AS (SELECT b.* FROM b LEFT JOIN part USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_lexical_search": f"""
 WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
 p AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS t FROM d) GROUP BY 1, 2),

@@ -32,3 +32,32 @@ def search(docs: list[tuple], items: list[tuple], top: int = 10) -> dict:
         if rows:
             out[item] = [(k, r[3], -r[0]) for k, r in enumerate(rows[:top], 1)]
     return out
+
+
+def phrases(rows: list[tuple], longest: int = 4, least: int = 30, percent: int = 80, top: int = 2000) -> list[tuple]:
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text)"""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(ws)
+            for k in range(1, longest + 1):
+                f[lang].update(tuple(ws[i : i + k]) for i in range(len(ws) - k + 1))
+    out = []
+    for lang, count in f.items():
+        rows = []
+        cand = {w: a for w, a in count.items() if len(w) > 1 and a >= least}
+        longer = defaultdict(int)
+        for w, a in cand.items():
+            for k in range(2, len(w)):
+                for i in range(len(w) - k + 1):
+                    longer[w[i : i + k]] = max(longer[w[i : i + k]], a)
+        for w, a in cand.items():
+            if w in longer and 100 * longer[w] >= percent * a:
+                continue
+            score, k = min((2000000 * a // (count[w[:k]] + count[w[k:]]), k) for k in range(1, len(w)))
+            rows.append((-score, -a, " ".join(w).encode(), count[w[:k]], count[w[k:]]))
+        rows.sort()
+        out += [(lang, i, p.decode(), -a, l, r, n[lang], -s) for i, (s, a, p, l, r) in enumerate(rows[:top], 1)]
+    return sorted(out)
