@@ -15,7 +15,7 @@ confirmed on their full sets throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -217,25 +217,27 @@ def confirm(asked: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
     return cut(dealt.mapInArrow(run, "a long, b long"), "near-links")
 
 
-def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
+def near_components(docs: DataFrame, p: NearParams = NearParams(), linked: Callable[[DataFrame, NearParams], DataFrame] | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
     A null or empty text has an empty set and is linked with nothing. Rows that share an id are one
     document: each has its own set, and all of their links are that document's. A row of no id is a
-    component of its own, without a number. An empty table gives an empty result.
+    component of its own, without a number. An empty table gives an empty result. ``linked`` finds the
+    components of rows whose ids are unique, if not these operators' own way does.
     """
+    linked = linked or _components_of
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
     if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").isEmpty():
-        return _components_of(docs, p)
+        return linked(docs, p)
     rows = cut(docs.where("doc_id is not null").withColumn("row", F.monotonically_increasing_id()), "near-rows")
-    found = cut(_components_of(rows.select(F.col("row").alias("doc_id"), "text"), p).withColumnsRenamed({"doc_id": "row", "component_id": "near"}), "near-found")
+    found = cut(linked(rows.select(F.col("row").alias("doc_id"), "text"), p).withColumnsRenamed({"doc_id": "row", "component_id": "near"}), "near-found")
     first = rows.groupBy("doc_id").agg(F.min("row").alias("first"))
     same = rows.select("doc_id", "row").join(first, "doc_id").select(F.col("row").alias("a"), F.col("first").alias("b"))
     known = components(same.unionAll(found.select(F.col("row").alias("a"), F.col("near").alias("b"))))
     each = rows.select("doc_id", "row").join(found, "row").join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
     least = each.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     each = each.join(least, "component").select("doc_id", "n_shingles", "component_id")
-    return each.unionByName(_components_of(docs.where("doc_id is null"), p))
+    return each.unionByName(linked(docs.where("doc_id is null"), p))
 
 
 def _components_of(docs: DataFrame, p: NearParams) -> DataFrame:

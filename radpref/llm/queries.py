@@ -17,6 +17,7 @@ from radpref.llm.phrases import collocations
 from radpref.llm.pii import pii
 from radpref.llm.quality_rules import quality_rules
 from radpref.llm.secret_scan import secret_scan
+from radpref.llm.set_join import jaccard_join
 from radpref.llm.suffix_dedup import suffix_dedup
 from radpref.llm.token_output import token_output
 from radpref.llm.toxicity import toxicity
@@ -66,12 +67,16 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring, op11_phrases, op13_lexical_search)
+    f.__name__: f for f in (op1_secret_scan, op2_pii, op3_source_mixing, op4_toxicity, op5_suffix_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_token_output, op9_near_duplicates, op10_lm_scoring, op11_phrases, op12_jaccard_join, op13_lexical_search)
 }
 
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -149,6 +154,17 @@ part AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS
 kept AS (SELECT b.* FROM b LEFT JOIN part USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
 o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000""",
+    "op12_jaccard_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, c) AS (SELECT a, b FROM sides UNION SELECT r.doc_id, sides.b FROM reach r JOIN sides ON sides.a = r.c),
+least_of AS (SELECT doc_id, min(c) AS c FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(c, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least_of USING (doc_id)""",
     "op13_lexical_search": f"""
 WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
 p AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS t FROM d) GROUP BY 1, 2),
