@@ -8,9 +8,10 @@ band, and asks in that and, if sets of the band below are large enough for it, t
 
 Which units a set takes goes by what they cost. Segments that no other set has cost nothing, and most sets gather all
 they need from such ones. Sets that share a segment are compared with the least of it first, which settles groups of
-close copies; a segment whose holders are settled costs nothing either. Only for what then needs more are the one-
-deletion neighbourhoods written out, each unit counted for the sets it would meet, and the cheapest taken; the sets that
-these meet are compared in blocks of bounded size. Links are confirmed on full sets throughout.
+close copies; a segment whose holders are settled costs nothing either. What then needs more asks in the segments that
+fewest others hold; where even these are held by many, the one-deletion neighbourhoods are written out, each unit is
+counted for the sets it would meet, and the cheapest are taken. Sets that meet are compared in blocks of bounded size.
+Links are confirmed on full sets throughout.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from radpref.llm.common import cut, slices, small_batches
+from radpref.llm.common import cut, drop, slices, small_batches
 from radpref.llm.components import components
-from radpref.llm.near_dedup import NearParams, Shingler, _open_buckets, confirm, mixed, near_components, shingle_sets
+from radpref.llm.near_dedup import NearParams, Shingler, confirm, mixed, near_components, shingle_sets
 
 _GOLD, _SEG, _TOKEN = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 #: In bands up to here empty segments count as segments; in higher ones so few sets could meet in these alone that once in 10^11 pairs none other is shared.
@@ -34,11 +35,13 @@ _SMALL = 5
 
 @dataclass(frozen=True)
 class JoinParams:
-    """``first_share``: one segment in so many is used to settle close copies first."""
+    """``first_share``: one segment in so many is used to settle close copies first. ``dear``: where more sets than this would meet
+    at a segment that a set has to ask in, one-deletion neighbourhoods are written out for it."""
 
     words: int = 5
     percent: int = 80
     first_share: int = 8
+    dear: int = 256
     block: int = 128
     block_shingles: int = 400_000
 
@@ -76,17 +79,16 @@ def key_of(band: int, segment: np.ndarray, content: np.ndarray) -> np.ndarray:
     return mixed(content + mixed(segment.astype(np.uint64) * _GOLD + np.uint64(band + 1)))
 
 
-def segment_keys(tokens: np.ndarray, band: int, p: JoinParams) -> np.ndarray:
-    """Keys of a set's segments in a band; of large bands those that are not empty."""
-    m = p.segments(band)
-    content, size = np.zeros(m, np.uint64), np.zeros(m, np.int64)
-    at = place(tokens, m)
-    np.add.at(content, at, mixed(tokens ^ _TOKEN))
-    keys = key_of(band, np.arange(m), content)
-    if band > _SMALL:
-        size = np.bincount(at, minlength=m)
-        keys = keys[size > 0]
-    return keys
+def segment_keys(tokens: np.ndarray, p: JoinParams) -> list[np.ndarray]:
+    """Keys of a set's segments in each band in which it asks; of large bands those that are not empty."""
+    where, value, out = mixed(tokens ^ _SEG) >> np.uint64(16), mixed(tokens ^ _TOKEN), []
+    for band, _, _ in levels(len(tokens), p):
+        m = p.segments(band)
+        content, at = np.zeros(m, np.uint64), (where % np.uint64(m)).astype(np.int64)
+        np.add.at(content, at, value)
+        each = np.arange(m) if band <= _SMALL else np.flatnonzero(np.bincount(at, minlength=m))
+        out.append(key_of(band, each, content[each]))
+    return out
 
 
 def neighbourhood(tokens: np.ndarray, band: int, p: JoinParams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -108,7 +110,7 @@ def signatures(docs: DataFrame, p: JoinParams) -> DataFrame:
                 sets = [shingler(t.as_buffer().to_pybytes()) for t in part.column("text")]
                 f1 = [int(mixed(s + _GOLD).sum(dtype=np.uint64).view(np.int64)) for s in sets]
                 f2 = [int(mixed(s ^ _SEG).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                keys = [[segment_keys(s, band, p).tobytes() for band, _, _ in levels(len(s), p)] if len(s) else [] for s in sets]
+                keys = [[k.tobytes() for k in segment_keys(s, p)] if len(s) else [] for s in sets]
                 own, low = ([k[i] if len(k) > i else None for k in keys] for i in (0, 1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(own, pa.binary()), pa.array(low, pa.binary())],
@@ -170,22 +172,35 @@ def _star(members: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
     return confirm(rows.unionByName(least.select(F.col("id").alias("grp"), "id", F.col("id").alias("comp"), "n", F.lit(True).alias("query"))), sets, p.blocks)
 
 
-def asking(members: DataFrame, known: DataFrame) -> DataFrame:
-    """``id`` of all sets that hold a segment which is not settled and which a set that lacks free units holds too."""
-    rows = _with_components(members.select("key", "id", "own", "spare"), known)
-    mixed_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    rows = cut(rows.join(mixed_keys, "key"), "unsettled")
+def contested(rows: DataFrame) -> DataFrame:
+    """Those of the segments in ``rows`` that a set holds which lacks free units: if its other segments meet nobody, it must still ask in some of these."""
     lacking = rows.groupBy("id", "own").agg(F.count("*").alias("dear"), F.first("spare").alias("spare")).where("dear > spare").select("id", "own")
-    keys = rows.join(lacking, ["id", "own"], "left_semi").select("key").distinct()
-    return rows.join(keys, "key", "left_semi").select("id").distinct()
+    return rows.join(rows.join(lacking, ["id", "own"], "left_semi").select("key").distinct(), "key", "left_semi")
+
 
+def asking(members: DataFrame, known: DataFrame, p: JoinParams) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``key, id, n``: whom the cheapest whole segments let meet; ``id, own`` of sets for which these are too dear; ``id`` of all that hold one of their segments.
+
+    A segment whose holders are one component is free. A set that lacks free units asks in its least shared ones.
+    """
+    rows = _with_components(members.select("key", "id", "n", "own", "spare"), known)
+    sizes = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi").select("key", "size")
+    rows = cut(contested(cut(rows.join(sizes, "key"), "unsettled")), "contested")
+    one = Window.partitionBy("id", "own")
+    ranks = rows.withColumns({"rank": F.row_number().over(one.orderBy("size", "key")), "dear": F.count("*").over(one)})
+    asks = cut(ranks.where("rank <= dear - spare").select("key", "id", "own", "size"), "asks")
+    hot = asks.groupBy("id", "own").agg(F.max("size").alias("size")).where(F.col("size") > p.dear).select("id", "own")
+    held = rows.join(rows.join(hot, ["id", "own"], "left_semi").select("key").distinct(), "key", "left_semi").select("id").distinct()
+    keys = asks.join(hot, ["id", "own"], "left_anti").select("key").distinct()
+    return rows.join(keys, "key", "left_semi").select("key", "id", "n"), hot, held
 
-def cheapest(rows: DataFrame) -> DataFrame:
-    """Rows of :func:`units` that stand at a key with others and that the cheapest units ask for, or an answer at such a key."""
+
+def cheapest(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows of :func:`units` at keys where the cheapest units of ``hot`` sets ask."""
     at = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_if(F.col("whole") & F.col("own")).alias("equal"), F.count_if(~F.col("whole") & F.col("own")).alias("less"))
     rows = cut(rows.join(at.where("lo != hi and equal > 0").drop("lo", "hi"), "key"), "units")
     itself = F.col("own").cast("int")
-    cost = rows.groupBy("id", "own", "segment").agg(
+    cost = rows.join(hot, ["id", "own"], "left_semi").groupBy("id", "own", "segment").agg(
         F.sum(F.when(F.col("whole"), F.col("equal") - itself).otherwise(0)).alias("first"),
         F.sum(F.when(F.col("whole"), F.col("less")).otherwise(F.col("equal"))).alias("second"),
         F.first("spare").alias("spare"),
@@ -198,6 +213,24 @@ def cheapest(rows: DataFrame) -> DataFrame:
     return rows.join(asks.select("key").distinct(), "key", "left_semi")
 
 
+def at_home(met: DataFrame, known: DataFrame) -> DataFrame:
+    """``grp, id, comp, n, query``: whom to compare with whom, of sets that meet at keys.
+
+    Where sets of several components meet, all are compared with those that are not of the main one. Such a set may meet
+    the same others at many keys, so it takes them all to the largest group that it meets, and each is sent there once.
+    """
+    met = cut(_with_components(met, known), "met")
+    parts = met.groupBy("key", "comp").agg(F.count("*").alias("k"))
+    groups = parts.groupBy("key").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.sum("k").alias("size"), F.count("*").alias("parts")).where("parts > 1")
+    met = cut(met.join(groups.drop("parts"), "key"), "groups")
+    asks = met.where("comp != main")
+    home = asks.groupBy("id").agg(F.max(F.struct("size", "key"))["key"].alias("grp"))
+    asks = asks.join(home, "id")
+    queries = asks.select("grp", "id", "comp", "n").distinct()
+    members = asks.select("key", "grp").distinct().join(met.select("key", "id", "comp", "n"), "key").select("grp", "id", "comp", "n").distinct()
+    return queries.withColumn("query", F.lit(True)).unionByName(members.withColumn("query", F.lit(False)))
+
+
 def _classes_linked(docs: DataFrame, p: JoinParams) -> DataFrame:
     signed = signatures(docs, p)
     full = signed.where("n > 0 and doc_id is not null")
@@ -206,24 +239,29 @@ def _classes_linked(docs: DataFrame, p: JoinParams) -> DataFrame:
     shared = cut(shared, "shared")
     rows = segments(full, "doc_id", p).withColumnRenamed("doc_id", "id").join(shared, "key", "left_semi").join(classes.select("id"), "id", "left_semi")
     rows = cut(rows, "rows")
-    pivots = rows.groupBy("key").agg(F.min("id").alias("pivot"))
-    members = cut(rows.join(pivots, "key"), "members")
+    drop(shared)
+    heads = cut(signed.select("doc_id", "n", "f1", "f2"), "heads")
+    drop(signed)
+    held = cut(contested(rows), "held")
+    drop(rows)
+    members = cut(held.join(held.groupBy("key").agg(F.min("id").alias("pivot")), "key"), "members")
+    drop(held)
     sets = shingle_sets(docs, members.select("id").distinct(), p.words)
     links = _star(members.where(F.pmod("key", F.lit(p.first_share)) == 0), sets, p)
     known = components(links)
-    apart = _with_components(members, known)
     pivot = known.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_comp"))
-    apart = apart.join(pivot, "pivot", "left").where(F.coalesce("pivot_comp", "pivot") != F.col("comp"))
+    apart = _with_components(members, known).join(pivot, "pivot", "left").where(F.coalesce("pivot_comp", "pivot") != F.col("comp"))
     links = links.unionAll(_star(apart, sets, p))
     known = components(links)
-    asked = cut(asking(members, known), "asked")
-    met = cheapest(units(sets.join(asked, "id", "left_semi"), p))
-    met = met.select(F.lit(0).alias("band"), F.col("key").alias("h"), F.col("id").alias("pivot"), "id", "n").distinct()
-    links = links.unionAll(confirm(_open_buckets(met, known), sets, p.blocks))
+    met, hot, held = asking(members, known, p)
+    drop(members)
+    met = met.unionByName(cheapest(units(sets.join(held, "id", "left_semi"), p), cut(hot, "hot")).select("key", "id", "n")).distinct()
+    links = links.unionAll(confirm(cut(at_home(met, known), "home"), sets, p.blocks))
+    drop(sets)
     known = components(links)
     lead = classes.join(known.withColumnRenamed("node", "id"), "id", "left").select("f1", "f2", "id", "other", F.coalesce("component", "id").alias("component"))
     lead = lead.where("component != id or id != other").select("f1", "f2", "component")
-    out = signed.select("doc_id", "n", "f1", "f2").join(lead, ["f1", "f2"], "left")
+    out = heads.join(lead, ["f1", "f2"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
