@@ -79,6 +79,16 @@ def subword_ids(words: list[bytes], p: ToxicityParams) -> tuple[np.ndarray, np.n
     return (key[order] % np.uint64(p.buckets)).astype(np.int64), starts
 
 
+def vocabulary_ids(words: list[bytes], p: ToxicityParams, at_once: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`subword_ids`, but runs' sizes, by a few words at a time: the driver that trains has little memory."""
+    parts, sizes = [], []
+    for i in range(0, len(words), at_once):
+        ids, starts = subword_ids(words[i : i + at_once], p)
+        sizes.append(np.diff(np.append(starts, len(ids))))
+        parts.append(ids.astype(np.int32))
+    return np.concatenate(parts), np.concatenate(sizes)
+
+
 @dataclass
 class ToxicityModel:
     """``bucket``: each bucket's vector times the softmax's difference of weights; ``bias`` likewise.
@@ -113,18 +123,18 @@ def train(texts: list[bytes], labels: list[int], p: ToxicityParams = ToxicityPar
     left, and is shared out in proportion to the gradient, so that chance patterns hardly move.
     """
     rng = np.random.default_rng(p.seed)
-    docs = [words_of(t) for t in texts]
-    docs, y = [d for d in docs if d], np.array([v for d, v in zip(docs, labels, strict=True) if d], np.float64)
-    if not docs or y.min() == y.max():
-        return ToxicityModel(np.zeros(p.buckets), float(np.log(y.mean() * 98 + 1) - np.log(99 - y.mean() * 98)) if docs else float(-np.log(99)), p)
     vocab: dict[bytes, int] = {}
-    tokens = [np.array([vocab.setdefault(w, len(vocab)) for w in d]) for d in docs]
-    ids, starts = subword_ids(list(vocab), p)
-    sizes = np.diff(np.append(starts, len(ids)))
+    tokens = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in words_of(t)), np.int32) for t in texts]
+    tokens, y = [t for t in tokens if len(t)], np.array([v for t, v in zip(tokens, labels, strict=True) if len(t)], np.float64)
+    if not tokens or y.min() == y.max():
+        return ToxicityModel(np.zeros(p.buckets), float(np.log(y.mean() * 98 + 1) - np.log(99 - y.mean() * 98)) if tokens else float(-np.log(99)), p)
+    ids, sizes = vocabulary_ids(list(vocab), p)
+    del vocab
+    starts = np.cumsum(sizes) - sizes
     seen = np.zeros(p.buckets, np.int64)  # documents that have the bucket
     for t in tokens:
         seen[np.unique(ids[_runs(starts, sizes, np.unique(t))])] += 1
-    common = seen >= max(3, p.min_share * len(docs))  # rarer buckets can't be told from chance and stay at nought
+    common = seen >= max(3, p.min_share * len(tokens))  # rarer buckets can't be told from chance and stay at nought
     emb = rng.normal(0, 0.1, (p.buckets, p.dim)) * common[:, None]
     head = np.outer(rng.normal(0, 1, p.dim), [-0.5, 0.5])
     bias = np.zeros(2)
