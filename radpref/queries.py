@@ -15,8 +15,8 @@ from radpref.plans.curate import Settings, curate, flatten, prepare
 from radpref.plans.rollups import rollup_findings, rollup_requests
 from radpref.shared import shared_dir
 from radpref.sources.events import fetch
-from radpref.sources.output import training_records
-from radpref.streaming.stream import curate_stream, read_stream
+from radpref.sources.output import read_output, training_records
+from radpref.streaming.stream import curate_stream, first_of_repeats, read_stream
 
 RATES = ("finding_recall", "finding_precision", "false_negative_rate", "critical_finding_capture_rate", "laterality_accuracy", "severity_accuracy", "absent_finding_accuracy")
 _ACCURACY = [f"{r}_{t}" for r in RATES for t in ("generated", "human")] + ["impression_agreement_score", "clinical_accuracy_score"]
@@ -161,10 +161,26 @@ def streamed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "stream")
     derived_events(spark, sf_dir).write.parquet(f"{path}/in")
     curate_stream(read_stream(spark, f"{path}/in"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out").select(*_FLAT)
+    return read_output(spark, f"{path}/out").select(*_FLAT)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output)}
+def unrepeated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of each run of a user's events of one type, each within a day of the one before; a stream over three spans of time, stopped and started again between them."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    path = shared_dir(spark, "repeats")
+    for k in range(3):
+        low, high = (first + (last - first) / 3 * i for i in (k, k + 1)) if first else (None, None)
+        span = (F.col("ts") >= F.lit(low)) & ((F.col("ts") < F.lit(high)) | F.lit(k == 2))
+        events.where(span).write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+        runs = first_of_repeats(source, "ts", ["user_id", "event_type"], "1 day", "2 days")
+        runs.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    runs = spark.read.schema(runs.schema).parquet(f"{path}/out")
+    return runs.select("event_id", "user_id", "event_type", "value", F.unix_micros("ts").alias("first_us"), F.unix_micros("last_time").alias("last_us"), "repeats")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output, unrepeated_events)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
 NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
@@ -379,6 +395,11 @@ ORACLES: dict[str, str] = {
     "output_rows": _ROWS,
     "output_details": _DETAILS,
     "streamed_output": _ROWS,
+    "unrepeated_events": """
+WITH e AS (SELECT *, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY user_id, event_type ORDER BY ts) AS before FROM events WHERE ts IS NOT NULL),
+runs AS (SELECT *, sum(CASE WHEN us <= before + 86400000000 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, event_type ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS run FROM e),
+r AS (SELECT user_id, event_type, arg_min(event_id, (us, event_id)) AS event_id, arg_min(value, (us, event_id)) AS value, min(us) AS first_us, max(us) AS last_us, count(*) AS repeats FROM runs GROUP BY user_id, event_type, run)
+SELECT event_id, user_id, event_type, value, first_us, last_us, repeats FROM r WHERE last_us + 86400000000 <= (SELECT max(us) FROM e) - 172800000000""",
     "event_lookup": f"{_GRADED} SELECT request_id, tenant_id, site_id, disposition, CASE WHEN NOT nested THEN gen END AS generated_impression, hum AS human_impression FROM full_req WHERE request_id = '1'",
     "payload_extraction": f"""{_GRADED} SELECT request_id, gen AS generated, {_SOURCE} AS generator_output_source, coalesce({_SOURCE} <> 'generated_impression', false) AS fallback_used,
   prompt AS prompt_text, projection, 'draft-2' AS generator_model_version, cast({_LATENCY} AS double) AS agent_latency_ms, cast(reward AS double) AS reward_score,
