@@ -12,7 +12,7 @@ from radpref.functions import text as T
 from radpref.functions import variants as V
 from radpref.operators.feedback import edit_distance, share_of
 from radpref.plans.curate import Settings, curate, flatten, prepare
-from radpref.plans.rollups import rollup_findings, rollup_requests
+from radpref.plans.rollups import daily_summary, merged, rollup_findings, rollup_requests, shown
 from radpref.shared import shared_dir
 from radpref.sources.events import fetch
 from radpref.sources.output import read_output, training_records
@@ -143,6 +143,16 @@ def tenant_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_requests(flatten(curate(derived_events(spark, sf_dir))), "tenant_id", "disposition")
 
 
+def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored summaries by tenant, disposition and version, merged over several levels; the exact columns of what is shown."""
+    rows = flatten(curate(derived_events(spark, sf_dir))).withColumn("created_date", F.to_date("created_at"))
+    path = shared_dir(spark, "summaries")
+    daily_summary(rows, "tenant_id", "body_part", "disposition", "generator_model_version").write.parquet(path)
+    levels = merged(spark.read.parquet(path), (), ("tenant_id",), ("disposition", "generator_model_version"), ("tenant_id", "body_part", "disposition"))
+    names = ["level", "tenant_id", "body_part", "disposition", "generator_model_version", "requests", "with_pair", "dpo_ready", "training_ready", "overridden"]
+    return shown(levels).select(*names, *[f"mean_{s}" for s in ("clinical_accuracy_score", "finding_recall_generated", "overall_field_error_rate", "curator_reward_score")])
+
+
 def label_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks by label over all requests."""
     return rollup_findings(curate(derived_events(spark, sf_dir)))
@@ -180,7 +190,7 @@ def unrepeated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("event_id", "user_id", "event_type", "value", F.unix_micros("ts").alias("first_us"), F.unix_micros("last_time").alias("last_us"), "repeats")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output, unrepeated_events)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output, unrepeated_events, dashboard)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
 NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
@@ -367,7 +377,13 @@ _OUTPUT = f"""output AS (SELECT r.request_id, tenant_id, site_id, 'DX' AS modali
   FROM ready r LEFT JOIN feedback f USING (request_id) LEFT JOIN accuracy USING (request_id) LEFT JOIN fields USING (request_id))"""
 _ROWS = f"{_ALL}, {_OUTPUT} SELECT {', '.join(_FLAT)} FROM output"
 _SOURCE = "CASE WHEN gen IS NULL THEN NULL WHEN NOT nested THEN 'generated_impression' WHEN path < 2 THEN 'input_payload_json.generator_response.output.impression_text' ELSE 'input_payload_json.impression_text' END"
-_MEANS = ", ".join(f"{_even(f'(sum(cast(round({c} * 10000) AS bigint)) / (10000.0 * count({c}))::double)', 6)} AS mean_{c}" for c in ("clinical_accuracy_score", "finding_recall_generated", "false_negative_rate_generated", "overall_field_error_rate", "curator_reward_score"))
+
+
+def _means(*columns: str) -> str:
+    return ", ".join(f"{_even(f'(sum(cast(round({c} * 10000) AS bigint)) / (10000.0 * count({c}))::double)', 6)} AS mean_{c}" for c in columns)
+
+
+_MEANS = _means("clinical_accuracy_score", "finding_recall_generated", "false_negative_rate_generated", "overall_field_error_rate", "curator_reward_score")
 
 _JSON_LIST = lambda c: f"'[' || coalesce(string_agg('\"' || label || '\"', ',' ORDER BY pos) FILTER (WHERE {c}), '') || ']'"
 _QUOTED = lambda c: f"cast(to_json({c}) AS varchar)"
@@ -423,6 +439,11 @@ SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_negated, 0)
     "training_export": f"{_ALL}, {_OUTPUT} SELECT prompt_text AS prompt, hum AS chosen, gen AS rejected FROM output JOIN full_req USING (request_id) WHERE is_dpo_training_ready",
     "tenant_rollup": f"""{_ALL}, {_OUTPUT} SELECT tenant_id, disposition, count(*) AS requests, count(*) FILTER (WHERE has_dpo_pair) AS with_pair, count(*) FILTER (WHERE is_dpo_ready) AS dpo_ready,
   count(*) FILTER (WHERE is_dpo_training_ready) AS training_ready, {_MEANS} FROM output GROUP BY 1, 2""",
+    "dashboard": f"""{_ALL}, {_OUTPUT} SELECT concat_ws(',', CASE WHEN grouping(tenant_id) = 0 THEN 'tenant_id' END, CASE WHEN grouping(disposition) = 0 THEN 'disposition' END,
+  CASE WHEN grouping(generator_model_version) = 0 THEN 'generator_model_version' END, CASE WHEN grouping(body_part) = 0 THEN 'body_part' END) AS level,
+  tenant_id, body_part, disposition, generator_model_version, count(*) AS requests, count(*) FILTER (WHERE has_dpo_pair) AS with_pair, count(*) FILTER (WHERE is_dpo_ready) AS dpo_ready,
+  count(*) FILTER (WHERE is_dpo_training_ready) AS training_ready, count(*) FILTER (WHERE is_human_overridden) AS overridden, {_means("clinical_accuracy_score", "finding_recall_generated", "overall_field_error_rate", "curator_reward_score")}
+  FROM output GROUP BY GROUPING SETS ((), (tenant_id), (disposition, generator_model_version), (tenant_id, body_part, disposition))""",
     "judge_accuracy": _judge_sql(),
     "label_rollup": f"""{_GRADED} SELECT label, count(*) AS checks, count(*) FILTER (WHERE presence = 'present') AS present, count(*) FILTER (WHERE presence = 'present' AND mentioned_in_generated) AS found_by_generated,
   count(*) FILTER (WHERE presence = 'present' AND mentioned_in_human) AS found_by_human, count(*) FILTER (WHERE NOT laterality_match_generated) AS wrong_side_generated,
