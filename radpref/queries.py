@@ -16,6 +16,7 @@ from radpref.plans.rollups import daily_summary, merged, rollup_findings, rollup
 from radpref.shared import shared_dir
 from radpref.sources.events import fetch
 from radpref.sources.output import read_output, training_records
+from radpref.sources.quarantine import Quarantine
 from radpref.streaming.stream import curate_stream, first_of_repeats, read_stream
 
 RATES = ("finding_recall", "finding_precision", "false_negative_rate", "critical_finding_capture_rate", "laterality_accuracy", "severity_accuracy", "absent_finding_accuracy")
@@ -190,7 +191,19 @@ def unrepeated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("event_id", "user_id", "event_type", "value", F.unix_micros("ts").alias("first_us"), F.unix_micros("last_time").alias("last_us"), "repeats")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output, unrepeated_events, dashboard)}
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events damaged in three ways taken in, and a replay that can mend one of them: where each event is, why, and after how many tries."""
+    k, payload = F.col("request_id").cast("long"), F.col("input_payload_json")
+    damaged = F.when(k % 13 == 0, F.concat(F.lit(")]}',"), payload)).when(k % 17 == 0, F.concat(F.lit("["), payload, F.lit("]"))).when(k % 19 == 0, F.substring(payload, 1, 40)).otherwise(payload)
+    store = Quarantine(spark, shared_dir(spark, "quarantine"))
+    store.take_in(derived_events(spark, sf_dir).withColumn("input_payload_json", damaged))
+    store.replay(lambda e: e.withColumn("input_payload_json", F.regexp_replace("input_payload_json", r"^\)\]\}',", "")))
+    exam = V.text_at(V.parse(payload), "case.exam.modality").alias("modality")
+    good = store.good().select("request_id", F.lit("good").alias("place"), F.lit(None).cast("string").alias("fault"), F.col("tries").cast("long"), exam)
+    return good.unionByName(store.waiting().select("request_id", F.lit("waiting").alias("place"), "fault", F.col("tries").cast("long"), F.lit(None).cast("string").alias("modality")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
 NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
@@ -444,6 +457,11 @@ SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_negated, 0)
   tenant_id, body_part, disposition, generator_model_version, count(*) AS requests, count(*) FILTER (WHERE has_dpo_pair) AS with_pair, count(*) FILTER (WHERE is_dpo_ready) AS dpo_ready,
   count(*) FILTER (WHERE is_dpo_training_ready) AS training_ready, count(*) FILTER (WHERE is_human_overridden) AS overridden, {_means("clinical_accuracy_score", "finding_recall_generated", "overall_field_error_rate", "curator_reward_score")}
   FROM output GROUP BY GROUPING SETS ((), (tenant_id), (disposition, generator_model_version), (tenant_id, body_part, disposition))""",
+    "quarantine_replay": """
+WITH k AS (SELECT cast(o_orderkey AS varchar) AS request_id, o_orderkey % 13 = 0 AS mended, o_orderkey % 17 = 0 AS listed, o_orderkey % 19 = 0 AS cut FROM orders)
+SELECT request_id, CASE WHEN NOT mended AND (listed OR cut) THEN 'waiting' ELSE 'good' END AS place,
+  CASE WHEN mended THEN NULL WHEN listed THEN 'payload is not an object' WHEN cut THEN 'payload is not JSON' END AS fault,
+  CASE WHEN mended OR listed OR cut THEN 1::bigint ELSE 0::bigint END AS tries, CASE WHEN mended OR NOT (listed OR cut) THEN 'DX' END AS modality FROM k""",
     "judge_accuracy": _judge_sql(),
     "label_rollup": f"""{_GRADED} SELECT label, count(*) AS checks, count(*) FILTER (WHERE presence = 'present') AS present, count(*) FILTER (WHERE presence = 'present' AND mentioned_in_generated) AS found_by_generated,
   count(*) FILTER (WHERE presence = 'present' AND mentioned_in_human) AS found_by_human, count(*) FILTER (WHERE NOT laterality_match_generated) AS wrong_side_generated,
