@@ -11,6 +11,7 @@ from radpref.derived import ITEMS, REQUESTS, derived_events, derived_judgments
 from radpref.functions import text as T
 from radpref.functions import variants as V
 from radpref.operators.feedback import edit_distance, share_of
+from radpref.operators.judgments import finding_rows, judgment_rows, match_rows, matched_answers
 from radpref.plans.curate import Settings, curate, flatten, prepare
 from radpref.plans.rollups import daily_summary, merged, rollup_findings, rollup_requests, shown
 from radpref.shared import shared_dir
@@ -161,7 +162,22 @@ def label_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judge_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates from stored judge answers, matched by id, by the id's key, or by label."""
-    out = curate(derived_events(spark, sf_dir), Settings(mode="llm"), derived_judgments(spark, sf_dir))
+    return _judged_rates(derived_events(spark, sf_dir), derived_judgments(spark, sf_dir))
+
+
+def judge_accuracy_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from judgments that are rows, matched to rows of findings by joins."""
+    events, path = derived_events(spark, sf_dir), shared_dir(spark, "judgments")
+    answers = derived_judgments(spark, sf_dir)
+    judgment_rows(answers).write.parquet(f"{path}/judgments")
+    finding_rows(prepare(events)).write.parquet(f"{path}/findings")
+    matches = match_rows(spark.read.parquet(f"{path}/findings"), spark.read.parquet(f"{path}/judgments"))
+    bare = answers.withColumn("evaluation", F.col("evaluation").withField("finding_judgments", F.filter("evaluation.finding_judgments", lambda _: F.lit(False))))
+    return _judged_rates(events, matched_answers(matches, bare))
+
+
+def _judged_rates(events: DataFrame, answers: DataFrame) -> DataFrame:
+    out = curate(events, Settings(mode="llm"), answers)
     ca = F.col("response.analytics.clinical_accuracy")
     shown = out.where(~F.col("response.trace.skipped")).select("request_id", ca.alias("ca"), F.col("error"), F.col("response.analytics.estimated_cost_usd").alias("cost"))
     return shown.select("request_id", "error", "cost", *[F.col(f"ca.{n}").alias(n) for n in _ACCURACY], F.col("ca.generated_supported_mentions_count").alias("supported"))
@@ -203,7 +219,7 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(store.waiting().select("request_id", F.lit("waiting").alias("place"), "fault", F.col("tries").cast("long"), F.lit(None).cast("string").alias("modality")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, judge_accuracy_by_join, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
 NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
@@ -463,6 +479,7 @@ SELECT request_id, CASE WHEN NOT mended AND (listed OR cut) THEN 'waiting' ELSE
   CASE WHEN mended THEN NULL WHEN listed THEN 'payload is not an object' WHEN cut THEN 'payload is not JSON' END AS fault,
   CASE WHEN mended OR listed OR cut THEN 1::bigint ELSE 0::bigint END AS tries, CASE WHEN mended OR NOT (listed OR cut) THEN 'DX' END AS modality FROM k""",
     "judge_accuracy": _judge_sql(),
+    "judge_accuracy_by_join": _judge_sql(),
     "label_rollup": f"""{_GRADED} SELECT label, count(*) AS checks, count(*) FILTER (WHERE presence = 'present') AS present, count(*) FILTER (WHERE presence = 'present' AND mentioned_in_generated) AS found_by_generated,
   count(*) FILTER (WHERE presence = 'present' AND mentioned_in_human) AS found_by_human, count(*) FILTER (WHERE NOT laterality_match_generated) AS wrong_side_generated,
   count(*) FILTER (WHERE NOT severity_match_generated) AS wrong_grade_generated FROM checks GROUP BY 1""",
