@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from radpref.derived import ITEMS, REQUESTS, derived_events, derived_judgments
 from radpref.functions import text as T
 from radpref.functions import variants as V
+from radpref.operators.answers import answers_to, ask_missing
 from radpref.operators.feedback import edit_distance, share_of
+from radpref.operators.judge import parse_evaluation, prompts
 from radpref.operators.judgments import finding_rows, judgment_rows, match_rows, matched_answers
 from radpref.plans.curate import Settings, curate, flatten, prepare
 from radpref.plans.rollups import daily_summary, merged, rollup_findings, rollup_requests, shown
@@ -176,6 +179,31 @@ def judge_accuracy_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged_rates(events, matched_answers(matches, bare))
 
 
+def literal_judge() -> Callable[[str], dict]:
+    """A stand-in for a judge: an impression mentions a finding if it holds the label's letters. Answers in a code fence, as models do."""
+
+    def answer(prompt: str) -> dict:
+        given = json.loads(prompt[prompt.rindex("\nINPUT:\n") + 8 :])
+        found = [json.loads(line) for line in given["structured_findings"].split("\n")]
+        said = lambda f, t: {"mention_status": "mentioned" if f["label"].lower() in given[f"{t}_impression"].lower() else "not_mentioned"}
+        judged = [{"finding_id": f["finding_id"], "label": f["label"], "generated": said(f, "generated"), "human": said(f, "human")} for f in found]
+        return {"answer": "```json\n" + json.dumps({"finding_judgments": judged}) + "\n```", "prompt_tokens": len(found), "completion_tokens": 1, "total_tokens": len(found) + 1}
+
+    return answer
+
+
+def judge_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts of all requests, asked into a table of answers in two runs, and what the answers say, finding by finding."""
+    path, events = shared_dir(spark, "answers"), derived_events(spark, sf_dir)
+    prompts(prepare(events)).write.parquet(f"{path}/asked")
+    asked = spark.read.parquet(f"{path}/asked")
+    ask_missing(asked, f"{path}/answers", literal_judge)
+    again = ask_missing(asked, f"{path}/answers", literal_judge)
+    told = answers_to(asked, f"{path}/answers").select("request_id", "prompt_tokens", F.posexplode(parse_evaluation(F.col("answer"))["finding_judgments"]).alias("at", "j"))
+    said = lambda t: (F.col(f"j.{t}.mention_status") == "mentioned").alias(f"in_{t}")
+    return told.select("request_id", (F.col("at") + 1).cast("long").alias("pos"), F.col("j.finding_id").alias("finding_id"), F.col("j.label").alias("label"), said("generated"), said("human"), "prompt_tokens", F.lit(again).cast("long").alias("asked_again"))
+
+
 def _judged_rates(events: DataFrame, answers: DataFrame) -> DataFrame:
     out = curate(events, Settings(mode="llm"), answers)
     ca = F.col("response.analytics.clinical_accuracy")
@@ -219,7 +247,7 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(store.waiting().select("request_id", F.lit("waiting").alias("place"), "fault", F.col("tries").cast("long"), F.lit(None).cast("string").alias("modality")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, judge_accuracy_by_join, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, judge_accuracy_by_join, judge_answers, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
 NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
@@ -480,6 +508,8 @@ SELECT request_id, CASE WHEN NOT mended AND (listed OR cut) THEN 'waiting' ELSE
   CASE WHEN mended OR listed OR cut THEN 1::bigint ELSE 0::bigint END AS tries, CASE WHEN mended OR NOT (listed OR cut) THEN 'DX' END AS modality FROM k""",
     "judge_accuracy": _judge_sql(),
     "judge_accuracy_by_join": _judge_sql(),
+    "judge_answers": f"""{_GRADED} SELECT request_id, pos, 'finding_' || pos AS finding_id, label, contains(lower(coalesce(full_req.gen, '')), lower(label)) AS in_generated,
+  contains(lower(coalesce(full_req.hum, '')), lower(label)) AS in_human, n AS prompt_tokens, 0::bigint AS asked_again FROM full_req JOIN items ON l_orderkey = o_orderkey WHERE graded""",
     "label_rollup": f"""{_GRADED} SELECT label, count(*) AS checks, count(*) FILTER (WHERE presence = 'present') AS present, count(*) FILTER (WHERE presence = 'present' AND mentioned_in_generated) AS found_by_generated,
   count(*) FILTER (WHERE presence = 'present' AND mentioned_in_human) AS found_by_human, count(*) FILTER (WHERE NOT laterality_match_generated) AS wrong_side_generated,
   count(*) FILTER (WHERE NOT severity_match_generated) AS wrong_grade_generated FROM checks GROUP BY 1""",
