@@ -155,3 +155,24 @@ def derived_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("reasoning"),
     )
     return by.select("request_id", evaluation.alias("evaluation"), (F.col("n") * 100).alias("prompt_tokens"), (F.col("n") * 40).alias("completion_tokens"), (F.col("n") * 140).alias("total_tokens"))
+
+
+def derived_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upstream requests as JSON text: ``request_id, request``. Keys decide which fields are wrong or missing."""
+    items = _tables(spark, sf_dir, ITEMS, "lineitem")
+    gv, hv, k = F.col("gv"), F.col("hv"), F.col("o_orderkey")
+    confidence = F.when(hv == 5, 1.5).when(hv != 4, F.col("pos") % 5 / 4.0)
+    finding = F.struct(F.when(gv != 7, F.col("label")).alias("label"), F.when(hv == 6, "maybe").otherwise(F.col("presence")).alias("presence"), "severity", confidence.alias("confidence"))
+    by = items.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("pos", finding.alias("f")))).alias("all")).select("l_orderkey", F.transform("all", lambda x: x["f"]).alias("findings"))
+    both = _tables(spark, sf_dir, REQUESTS, "orders", "customer", "nation", "region").join(by, k == F.col("l_orderkey"), "left")
+    either = lambda wrong, bad, good: F.when(wrong, F.parse_json(F.lit(bad))).otherwise(F.parse_json(F.lit(good)))
+    exam = F.struct(F.when(k % 5 == 0, "XX").otherwise("CT").alias("modality"), F.lit("CHEST").alias("body_part"), F.when(k % 9 == 0, "Q").alias("laterality"))
+    request = F.struct(
+        "tenant_id", "request_id",
+        F.struct(F.lit("u1").alias("user_id"), F.when(k % 7 == 0, "visitor").otherwise("clinician").alias("role")).alias("user"),
+        F.struct(F.when(k % 8 != 0, F.concat(F.lit("A"), "request_id")).alias("accession_number"), F.struct(F.lit("P1").alias("patient_id")).alias("patient"), exam.alias("exam"), either(k % 11 == 0, "7", '"cough"').alias("clinical_indication")).alias("case"),
+        F.struct(F.struct(F.col("findings").alias("structured_findings")).alias("observation_payload")).alias("inputs"),
+        F.when(k % 10 != 0, F.struct(F.lit("pb").alias("playbook_id"), F.lit("1").alias("playbook_version"))).alias("ace_context"),
+        F.struct(either(k % 6 == 0, '"many"', '"3"').alias("top_k")).alias("retrieval"),
+    )
+    return both.select("request_id", F.to_json(request).alias("request"))

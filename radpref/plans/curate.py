@@ -17,8 +17,8 @@ from radpref.operators.clinical import clinical_accuracy, with_sentences
 from radpref.operators.extract import extract, findings, parse_payload
 from radpref.operators.feedback import SKIP_NOTE, estimated_cost, human_feedback, readiness, reward_label
 from radpref.operators.fields import field_performance
-from radpref.operators.judge import judged_accuracy
-from radpref.schemas import OUTPUT_COLUMNS, to_events
+from radpref.operators.judge import judged_accuracy, last_answers
+from radpref.schemas import EVENT, OUTPUT_COLUMNS, to_events
 from radpref.sources.events import fetch
 
 _JSON = {"ignoreNullFields": "false"}
@@ -176,17 +176,22 @@ class NotFoundError(LookupError):
 
 
 def curate_one(events: DataFrame, request_id: str, settings: Settings = Settings(), answers: DataFrame | None = None) -> DataFrame:
-    """The response to one request, by key: one row of :func:`curate`, worked out already.
+    """The response to one request, by key: one row of :func:`curate`, for the event as it was fetched here, and its last answer likewise.
 
+    The source is read once; whatever is done with the row, it is of the event whose error was looked at.
     Without an event of that key :class:`NotFoundError`; an event that can't be curated comes back with its
     ``error``, or fails with :class:`ValueError` in strict mode.
     """
-    out = curate(fetch(events, request_id), replace(settings, strict=False), answers).limit(1)
-    row = out.select("error", out.columns[0]).first()
-    if row is None:
+    spark = events.sparkSession
+    event = fetch(events, request_id).first()
+    if event is None:
         raise NotFoundError(f"no event of request {request_id}")
-    if settings.strict and row["error"]:
-        raise ValueError(row["error"])
+    if answers is not None:
+        own = last_answers(answers.where(F.col("request_id") == request_id))
+        answers = spark.createDataFrame(own.collect(), own.schema)
+    out = curate(spark.createDataFrame([event], EVENT), replace(settings, strict=False), answers)
+    if settings.strict and (error := out.select("error").first()["error"]):
+        raise ValueError(error)
     return out
 
 

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radpref.derived import ITEMS, REQUESTS, derived_events, derived_judgments
+from radpref.contracts import faults, typed
+from radpref.derived import ITEMS, REQUESTS, derived_events, derived_judgments, derived_requests
 from radpref.functions import text as T
 from radpref.functions import variants as V
 from radpref.operators.answers import answers_to, ask_missing
@@ -18,8 +19,8 @@ from radpref.operators.judgments import finding_rows, judgment_rows, match_rows,
 from radpref.plans.curate import Settings, curate, flatten, prepare
 from radpref.plans.rollups import daily_summary, merged, rollup_findings, rollup_requests, shown
 from radpref.shared import shared_dir
-from radpref.sources.events import fetch
-from radpref.sources.output import read_output, training_records
+from radpref.sources.events import fetch, fetch_many
+from radpref.sources.output import keyed_writer, read_output, training_records
 from radpref.sources.quarantine import Quarantine
 from radpref.streaming.stream import curate_stream, first_of_repeats, read_stream
 
@@ -34,6 +35,24 @@ def event_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch(derived_events(spark, sf_dir), "1").select("request_id", "tenant_id", "site_id", "disposition", "generated_impression", "human_impression")
 
 
+def event_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests of all urgent orders by key, out of stored events with Bloom filters."""
+    path = shared_dir(spark, "events")
+    keyed_writer(derived_events(spark, sf_dir)).parquet(path)
+    urgent = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").cast("string").alias("request_id"))
+    return fetch_many(spark.read.parquet(path), urgent).select("request_id", "tenant_id", "site_id", "disposition", "generated_impression", "human_impression")
+
+
+def request_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with every upstream request, and some typed values with their defaults."""
+    r = derived_requests(spark, sf_dir).select("request_id", F.parse_json("request").alias("r"))
+    r = r.select("request_id", F.sort_array(faults(F.col("r"), "request")).alias("faults"), typed(F.col("r"), "request").alias("t"))
+    return r.select(
+        "request_id", F.size("faults").cast("long").alias("n_faults"), F.array_join("faults", "; ").alias("faults"), F.col("t.retrieval.top_k").alias("top_k"), F.col("t.retrieval.enabled").alias("enabled"),
+        F.col("t.case.patient.sex").alias("sex"), F.col("t.ace_context.specialty_profile").alias("profile"), F.size("t.inputs.observation_payload.structured_findings").cast("long").alias("n_findings"),
+    )
+
+
 def payload_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fallback chains over every payload."""
     p = prepare(derived_events(spark, sf_dir))
@@ -247,7 +266,7 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(store.waiting().select("request_id", F.lit("waiting").alias("place"), "fault", F.col("tries").cast("long"), F.lit(None).cast("string").alias("modality")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, judge_accuracy_by_join, judge_answers, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, event_lookups, request_contracts, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, judge_accuracy_by_join, judge_answers, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
 NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
@@ -474,6 +493,16 @@ runs AS (SELECT *, sum(CASE WHEN us <= before + 86400000000 THEN 0 ELSE 1 END) O
 r AS (SELECT user_id, event_type, arg_min(event_id, (us, event_id)) AS event_id, arg_min(value, (us, event_id)) AS value, min(us) AS first_us, max(us) AS last_us, count(*) AS repeats FROM runs GROUP BY user_id, event_type, run)
 SELECT event_id, user_id, event_type, value, first_us, last_us, repeats FROM r WHERE last_us + 86400000000 <= (SELECT max(us) FROM e) - 172800000000""",
     "event_lookup": f"{_GRADED} SELECT request_id, tenant_id, site_id, disposition, CASE WHEN NOT nested THEN gen END AS generated_impression, hum AS human_impression FROM full_req WHERE request_id = '1'",
+    "event_lookups": f"{_GRADED} SELECT request_id, tenant_id, site_id, disposition, CASE WHEN NOT nested THEN gen END AS generated_impression, hum AS human_impression FROM full_req JOIN orders USING (o_orderkey) WHERE o_orderpriority = '1-URGENT'",
+    "request_contracts": f"""WITH items AS ({ITEMS}), req AS ({REQUESTS}), place AS (SELECT *, 'inputs.observation_payload.structured_findings[' || (pos - 1) || '].' AS spot FROM items),
+wrong AS (SELECT l_orderkey AS o, spot || 'label: missing' AS f FROM place WHERE gv = 7 UNION ALL SELECT l_orderkey, spot || 'presence: not a known value' FROM place WHERE hv = 6
+  UNION ALL SELECT l_orderkey, spot || 'confidence: not within 0 and 1' FROM place WHERE hv = 5 UNION ALL SELECT o_orderkey, 'case.exam.modality: not a known value' FROM req WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT o_orderkey, 'case.exam.laterality: not a known value' FROM req WHERE o_orderkey % 9 = 0 UNION ALL SELECT o_orderkey, 'user.role: not a known value' FROM req WHERE o_orderkey % 7 = 0
+  UNION ALL SELECT o_orderkey, 'case.accession_number: missing' FROM req WHERE o_orderkey % 8 = 0 UNION ALL SELECT o_orderkey, 'case.clinical_indication: not a text' FROM req WHERE o_orderkey % 11 = 0
+  UNION ALL SELECT o_orderkey, 'ace_context: missing' FROM req WHERE o_orderkey % 10 = 0 UNION ALL SELECT o_orderkey, 'retrieval.top_k: not a whole number' FROM req WHERE o_orderkey % 6 = 0),
+faults AS (SELECT o, count(*) AS n, string_agg(f, '; ' ORDER BY f) AS f FROM wrong GROUP BY 1), counts AS (SELECT l_orderkey, count(*) AS n FROM items GROUP BY 1)
+SELECT request_id, coalesce(faults.n, 0) AS n_faults, coalesce(f, '') AS faults, CASE WHEN o_orderkey % 6 <> 0 THEN 3::bigint END AS top_k, true AS enabled, 'U' AS sex,
+  CASE WHEN o_orderkey % 10 <> 0 THEN 'radiology' END AS profile, coalesce(counts.n, 0) AS n_findings FROM req LEFT JOIN faults ON o = o_orderkey LEFT JOIN counts ON l_orderkey = o_orderkey""",
     "payload_extraction": f"""{_GRADED} SELECT request_id, gen AS generated, {_SOURCE} AS generator_output_source, coalesce({_SOURCE} <> 'generated_impression', false) AS fallback_used,
   prompt AS prompt_text, projection, 'draft-2' AS generator_model_version, cast({_LATENCY} AS double) AS agent_latency_ms, cast(reward AS double) AS reward_score,
   {_TRIGGERED} AS reflector_triggered, CASE WHEN path = 1 THEN 'BAD_ROUTE' ELSE '' END AS issue_codes, n AS n_findings FROM full_req""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radpref.functions import variants as V
@@ -28,6 +28,36 @@ def fetch(events: DataFrame, request_id: str) -> DataFrame:
     return to_events(found.limit(1))
 
 
+def fetch_many(events: DataFrame, keys: DataFrame, few: int = 200) -> DataFrame:
+    """The events of all requests in ``keys`` (a frame with ``request_id``), at most one row a request, chosen as :func:`fetch` does.
+
+    Up to ``few`` keys become comparisons that the scan tests against each row group's statistics, dictionary and Bloom
+    filter (:func:`~radpref.sources.output.keyed_writer` writes one); more of them are joined. Null keys find nothing.
+    """
+    found = matching(events, keys, few)
+    row = F.struct(*[c for c in events.columns if c in EVENT_COLUMNS])
+    # a row without a time counts less than any other, but is not lost
+    one = F.max_by(row, F.struct(F.col("timestamp").isNotNull(), "timestamp")) if "timestamp" in events.columns else F.first(row)
+    return to_events(found.groupBy("request_id").agg(one.alias("e")).select("e.*"))
+
+
+def matching(rows: DataFrame, keys: DataFrame, few: int = 200) -> DataFrame:
+    """All rows whose ``request_id`` is among the keys."""
+    wanted = keys.select("request_id").where("request_id is not null").distinct()
+    first = [r[0] for r in wanted.limit(few + 1).collect()]
+    if len(first) > few:
+        return rows.join(wanted, "request_id", "left_semi").select(rows.columns)
+    return rows.where(_any_of(F.col("request_id"), first) if first else F.lit(False))
+
+
+def _any_of(c: Column, values: list[str]) -> Column:
+    """One of the values, as a tree of equalities: of a longer list Spark hands the scan only the least and greatest."""
+    if len(values) == 1:
+        return c == values[0]
+    half = len(values) // 2
+    return _any_of(c, values[:half]) | _any_of(c, values[half:])
+
+
 def fetch_sql(spark: SparkSession, table: str, request_id: str) -> DataFrame:
     """As :func:`fetch`, by a bound parameter on a catalogued table or view."""
     have = set(spark.table(table).columns)
