@@ -65,6 +65,13 @@ def _bound(sql: str, names: tuple[str, ...]) -> str:
     return sql
 
 
+def _spread(requests: DataFrame) -> DataFrame:
+    """Requests over all cores: few bytes a row, but much work, so that left to itself Spark would put small tables into one task."""
+    spark = requests.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return requests.repartition(parts, "o_orderkey")
+
+
 def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in the input schema, with JSON text payloads."""
     items = _tables(spark, sf_dir, ITEMS, "lineitem")
@@ -93,9 +100,7 @@ def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every ninth payload is JSON text within a JSON string
     inner = F.to_json(F.struct(payload.alias("x")))
     payload = F.when(F.col("o_orderkey") % 9 == 0, F.substr(inner, F.lit(6), F.char_length(inner) - 6)).otherwise(payload)
-    # few bytes a row, but much work: left to itself, Spark would put small tables into one task
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return both.repartition(parts, "o_orderkey").select(
+    return _spread(both).select(
         "request_id",
         F.lit(None).cast("string").alias("event_id"),
         "tenant_id",
@@ -175,4 +180,4 @@ def derived_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 != 0, F.struct(F.lit("pb").alias("playbook_id"), F.lit("1").alias("playbook_version"))).alias("ace_context"),
         F.struct(either(k % 6 == 0, '"many"', '"3"').alias("top_k")).alias("retrieval"),
     )
-    return both.select("request_id", F.to_json(request).alias("request"))
+    return _spread(both).select("request_id", F.to_json(request).alias("request"))
