@@ -154,12 +154,8 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return cut(asked.mapInArrow(run, "id long, n long, shingles binary"), "shingles")
 
 
-def confirm(asked: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
-    """Links ``a, b`` found in groups of ``asked``: ``grp, id, comp, n, query``.
-
-    In each group, rows marked as queries are compared with all rows that aren't, and one link is kept for
-    each query and component met. Groups are dealt in blocks of so many rows, and so many shingles, a side.
-    """
+def in_blocks(asked: DataFrame, p: NearParams) -> DataFrame:
+    """``grp, q, m, id, comp, query``: groups dealt in blocks of so many rows, and so many shingles, a side, so that each query meets each member in one block."""
     count = lambda q: F.ceil(F.greatest(F.count_if(q) / p.block, F.sum(F.when(q, F.col("n")).otherwise(0)) / p.block_shingles, F.lit(1))).cast("int")
     blocks = asked.groupBy("grp").agg(count(F.col("query")).alias("qs"), count(~F.col("query")).alias("ms"))
     deal = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
@@ -168,7 +164,16 @@ def confirm(asked: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
     rows = asked.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(p.salts)).cast("int")).join(salted, ["grp", "salt"]).drop("salt")
     queries = rows.where("query").withColumn("q", deal("qs")).withColumn("m", every("ms"))
     members = rows.where("not query").withColumn("m", deal("ms")).withColumn("q", every("qs"))
-    dealt = queries.unionByName(members).select("grp", "q", "m", "id", "comp", "query").join(sets.select("id", "shingles"), "id")
+    return queries.unionByName(members).select("grp", "q", "m", "id", "comp", "query")
+
+
+def confirm(asked: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
+    """Links ``a, b`` found in groups of ``asked``: ``grp, id, comp, n, query``.
+
+    In each group, rows marked as queries are compared with all rows that aren't, and one link is kept for
+    each query and component met.
+    """
+    dealt = in_blocks(asked, p).join(sets.select("id", "shingles"), "id")
     dealt = dealt.repartition("grp", "q", "m").sortWithinPartitions("grp", "q", "m")
     percent = p.percent
 

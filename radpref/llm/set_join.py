@@ -10,8 +10,10 @@ Which units a set takes goes by what they cost. Segments that no other set has c
 they need from such ones. Sets that share a segment are compared with the least of it first, which settles groups of
 close copies; a segment whose holders are settled costs nothing either. What then needs more asks in the segments that
 fewest others hold; where even these are held by many, the one-deletion neighbourhoods are written out, each unit is
-counted for the sets it would meet, and the cheapest are taken. Sets that meet are compared in blocks of bounded size.
-Links are confirmed on full sets throughout.
+counted for the sets it would meet, and the cheapest are taken. Sets that meet so late are mostly alike but not enough.
+They are sifted first, in blocks of bounded size, by bit maps of a few bits a shingle: each bit is the parity of the
+shingles that fall to it, so two maps differ in no more bits than the sets in shingles, and no link is lost. Links are
+confirmed on full sets throughout.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ from pyspark.sql import functions as F
 
 from radpref.llm.common import cut, drop, slices, small_batches
 from radpref.llm.components import components
-from radpref.llm.near_dedup import NearParams, Shingler, confirm, mixed, near_components, shingle_sets
+from radpref.llm.near_dedup import NearParams, Shingler, confirm, in_blocks, mixed, near_components, shingle_sets
 
-_GOLD, _SEG, _TOKEN = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+_GOLD, _SEG, _TOKEN, _BIT = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 #: In bands up to here empty segments count as segments; in higher ones so few sets could meet in these alone that once in 10^11 pairs none other is shared.
 _SMALL = 5
 
@@ -36,14 +38,17 @@ _SMALL = 5
 @dataclass(frozen=True)
 class JoinParams:
     """``first_share``: one segment in so many is used to settle close copies first. ``dear``: where more sets than this would meet
-    at a segment that a set has to ask in, one-deletion neighbourhoods are written out for it."""
+    at a segment that a set has to ask in, one-deletion neighbourhoods are written out for it. ``sift_block`` and ``sift_shingles``: a
+    side of the blocks in which bit maps are compared."""
 
     words: int = 5
     percent: int = 80
     first_share: int = 8
-    dear: int = 256
+    dear: int = 4096
     block: int = 128
     block_shingles: int = 400_000
+    sift_block: int = 1024
+    sift_shingles: int = 3_200_000
 
     def __post_init__(self):
         if not 50 <= self.percent <= 100:
@@ -53,6 +58,10 @@ class JoinParams:
     def blocks(self) -> NearParams:
         return NearParams(words=self.words, percent=self.percent, block=self.block, block_shingles=self.block_shingles)
 
+    @property
+    def sift_blocks(self) -> NearParams:
+        return NearParams(words=self.words, percent=self.percent, block=self.sift_block, block_shingles=self.sift_shingles)
+
     def segments(self, band: int) -> int:
         return ((2 << band) - 1) * (100 - self.percent) // self.percent + 1
 
@@ -231,6 +240,116 @@ def at_home(met: DataFrame, known: DataFrame) -> DataFrame:
     return queries.withColumn("query", F.lit(True)).unionByName(members.withColumn("query", F.lit(False)))
 
 
+def parities(tokens: np.ndarray, words: int) -> np.ndarray:
+    """A bit map of so many 64-bit words, a power of two: each bit tells if an odd number of shingles falls to it."""
+    odd = np.bincount((mixed(tokens ^ _BIT) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Rows of bit maps of so many words, made from larger ones: what falls to either half falls to their sum."""
+    while maps.shape[1] > words:
+        half = maps.shape[1] // 2
+        maps = maps[:, :half] ^ maps[:, half:]
+    return maps
+
+
+def bit_maps(sets: DataFrame) -> DataFrame:
+    """``id, size, bits``: two to four bits a shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, bits = [], []
+            for s in batch.column("shingles"):
+                tokens = np.frombuffer(s.as_buffer().to_pybytes(), np.uint64)
+                size.append(len(tokens))
+                bits.append(parities(tokens, 1 << max(0, (2 * len(tokens) - 1).bit_length() - 6)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), pa.array(bits, pa.binary())], names=["id", "size", "bits"])
+
+    return sets.select("id", "shingles").mapInArrow(run, "id long, size long, bits binary")
+
+
+def sift_block(queries: list[tuple], members: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of queries and members, ``(id, comp, size, bits)`` each, that may be linked: of other components, sizes and bit maps alike enough."""
+    width: dict[int, list[int]] = {}
+    for k, m in enumerate(members):
+        width.setdefault(len(m[3]), []).append(k)
+    of = []
+    for at in width.values():
+        at = np.array(at)
+        maps = np.frombuffer(b"".join(members[k][3] for k in at), np.uint64).reshape(len(at), -1)
+        ids, comps, sizes = (np.array([members[k][j] for k in at], np.int64) for j in range(3))
+        of.append((at, maps, ids, comps, sizes))
+    found_q, found_m = [], []
+    for k, (i, c, n, bits) in enumerate(queries):
+        own = np.frombuffer(bits, np.uint64).reshape(1, -1)
+        for at, maps, ids, comps, sizes in of:
+            near = np.flatnonzero((np.minimum(sizes, n) * 100 >= percent * np.maximum(sizes, n)) & (comps != c) & (ids != i))
+            if len(near):
+                words = min(own.shape[1], maps.shape[1])
+                apart = np.bitwise_count(folded(maps[near], words) ^ folded(own, words)).sum(1, dtype=np.int64)
+                good = at[near[(100 + percent) * apart <= (100 - percent) * (sizes[near] + n)]]
+                found_q.append(np.full(len(good), k))
+                found_m.append(good)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *found_q]), np.concatenate([none, *found_m])
+
+
+def sifted(asked: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
+    """``a, b, first``: pairs met in groups of ``asked`` (as of :func:`confirm`) whose bit maps don't rule a link out; whether to look at them first. Written down.
+
+    First are, for each query and component, the pairs of least id in a block.
+    """
+    dealt = in_blocks(asked, p.sift_blocks).join(bit_maps(sets), "id")
+    dealt = dealt.repartition("grp", "q", "m").sortWithinPartitions("grp", "q", "m")
+    percent = p.percent
+
+    def pairs(queries: list[tuple], members: list[tuple]) -> pa.RecordBatch:
+        q, m = sift_block(queries, members, percent)
+        a, b, comp = (np.array([x[j] for x in side], np.int64)[at] if len(at) else at for side, at, j in ((queries, q, 0), (members, m, 0), (members, m, 1)))
+        order = np.lexsort((b, comp, a))
+        a, b, comp = a[order], b[order], comp[order]
+        first = np.ones(len(a), bool)
+        first[1:] = (a[1:] != a[:-1]) | (comp[1:] != comp[:-1])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(first)], names=["a", "b", "first"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("grp", "q", "m", "query", "id", "comp", "size", "bits")]
+            for g, q, m, query, *row in zip(*cols, strict=True):
+                if (g, q, m) != key:
+                    if all(sides):
+                        yield pairs(*sides)
+                    key, sides = (g, q, m), ([], [])
+                sides[not query].append(row)
+        if all(sides):
+            yield pairs(*sides)
+
+    found = dealt.mapInArrow(run, "a long, b long, first boolean")
+    return cut(found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("first").alias("first")), "sifted")
+
+
+def confirm_pairs(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
+    """Those of the pairs ``a, b, comp`` that are links; one for each ``a`` and component of ``b`` is enough."""
+    size = sets.select("id", "n")
+    members = pairs.select(F.col("a").alias("grp"), F.col("b").alias("id"), "comp").join(size, "id").withColumn("query", F.lit(False))
+    queries = pairs.select(F.col("a").alias("id")).distinct().join(size, "id").select("id", F.col("id").alias("grp"), F.col("id").alias("comp"), "n", F.lit(True).alias("query"))
+    return confirm(members.unionByName(queries), sets, p.blocks)
+
+
+def _links_met(asked: DataFrame, links: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
+    """``links`` and those among sets that meet in groups of ``asked``: sifted, then the first of each component confirmed, then what is still apart."""
+    pairs = sifted(asked, sets, p)
+    for chosen in (pairs.where("first"), pairs.where("not first")):
+        known = components(links)
+        near = known.select(F.col("node").alias("a"), F.col("component").alias("own"))
+        far = known.select(F.col("node").alias("b"), F.col("component").alias("comp"))
+        apart = chosen.join(near, "a", "left").join(far, "b", "left").select("a", "b", F.coalesce("own", "a").alias("own"), F.coalesce("comp", "b").alias("comp"))
+        links = links.unionAll(confirm_pairs(apart.where("own != comp"), sets, p))
+    return links
+
+
 def _classes_linked(docs: DataFrame, p: JoinParams) -> DataFrame:
     signed = signatures(docs, p)
     full = signed.where("n > 0 and doc_id is not null")
@@ -256,7 +375,7 @@ def _classes_linked(docs: DataFrame, p: JoinParams) -> DataFrame:
     met, hot, held = asking(members, known, p)
     drop(members)
     met = met.unionByName(cheapest(units(sets.join(held, "id", "left_semi"), p), cut(hot, "hot")).select("key", "id", "n")).distinct()
-    links = links.unionAll(confirm(cut(at_home(met, known), "home"), sets, p.blocks))
+    links = _links_met(cut(at_home(met, known), "home"), links, sets, p)
     drop(sets)
     known = components(links)
     lead = classes.join(known.withColumnRenamed("node", "id"), "id", "left").select("f1", "f2", "id", "other", F.coalesce("component", "id").alias("component"))

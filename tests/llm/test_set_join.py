@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute as B  # noqa: E402
 
 from radpref.llm.near_dedup import mixed  # noqa: E402
-from radpref.llm.set_join import JoinParams, jaccard_join, levels, neighbourhood, segment_keys  # noqa: E402
+from radpref.llm.set_join import JoinParams, folded, jaccard_join, levels, neighbourhood, parities, segment_keys, sift_block  # noqa: E402
 
 SCHEMA = "doc_id long, text string, n long, own boolean, key string, band int"
 
@@ -53,7 +53,7 @@ def got(df):
     return out
 
 
-@pytest.mark.parametrize("p", [JoinParams(), JoinParams(words=1, first_share=1000, block=3, block_shingles=200), JoinParams(words=3, first_share=1, dear=0), JoinParams(words=2, first_share=50, dear=3)])
+@pytest.mark.parametrize("p", [JoinParams(), JoinParams(words=1, first_share=1000, block=3, block_shingles=200, sift_block=4, sift_shingles=300), JoinParams(words=3, first_share=1, dear=0), JoinParams(words=2, first_share=50, dear=3)])
 def test_join(spark, p):
     docs = corpus()
     assert got(jaccard_join(frame(spark, docs), p)) == {i: v[:2] for i, v in B.near(docs, p.words).items()}
@@ -104,3 +104,29 @@ def test_units_meet_whatever_is_alike(percent):
         else:
             raise AssertionError("no common band")
     assert alike > {80: 100, 60: 200, 95: 5}[percent]
+
+
+def test_bit_maps_differ_in_no_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(5)
+    for _ in range(300):
+        base = r.integers(0, 1 << 63, r.integers(1, 400)).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([base[r.random(len(base)) > 0.1], r.integers(0, 1 << 63, r.integers(1, 40)).astype(np.uint64)])) for _ in range(2))
+        wide = [1 << max(0, (2 * len(x) - 1).bit_length() - 6) for x in (a, b)]
+        for words in {min(wide), 1}:
+            x, y = (folded(parities(s, w)[None], words) for s, w in zip((a, b), wide, strict=True))
+            assert (x == parities(a, words)).all() and (y == parities(b, words)).all()  # folding is a map of fewer bits
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_sift_keeps_all_links_and_few_others():
+    r = np.random.default_rng(6)
+    base = r.integers(0, 1 << 63, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[r.random(300) > share], r.integers(0, 1 << 63, int(300 * share)).astype(np.uint64)])) for share in (0.02, 0.05, 0.1, 0.2, 0.3) for _ in range(12)]
+    rows = [(k, k, len(s), parities(s, 1 << max(0, (2 * len(s) - 1).bit_length() - 6)).tobytes()) for k, s in enumerate(sets)]
+    alike = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    true = {(i, k): alike(sets[i], sets[k]) for i in range(len(sets)) for k in range(len(sets)) if i != k}
+    got = set(zip(*(x.tolist() for x in sift_block(rows, rows, 80)), strict=True))
+    assert {x for x, j in true.items() if j >= 0.8} <= got
+    assert len([x for x in got if true[x] < 0.7]) == 0
+    same = [(i, 1, n, bits) for i, _, n, bits in rows]  # one component: nothing to find
+    assert len(sift_block(same, same, 80)[0]) == 0
