@@ -23,6 +23,7 @@ from radpref.sources.events import fetch, fetch_many
 from radpref.sources.output import keyed_writer, read_output, training_records
 from radpref.sources.quarantine import Quarantine
 from radpref.streaming.stream import curate_stream, first_of_repeats, read_stream
+from radpref.streaming.traces import Traces
 
 RATES = ("finding_recall", "finding_precision", "false_negative_rate", "critical_finding_capture_rate", "laterality_accuracy", "severity_accuracy", "absent_finding_accuracy")
 _ACCURACY = [f"{r}_{t}" for r in RATES for t in ("generated", "human")] + ["impression_agreement_score", "clinical_accuracy_score"]
@@ -238,6 +239,22 @@ def streamed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_output(spark, f"{path}/out").select(*_FLAT)
 
 
+def traced_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the traces of a stream hold that took half of the events, was stopped, and took the others: counts of its batches, added up."""
+    path = shared_dir(spark, "traced")
+    events, traces = derived_events(spark, sf_dir), Traces(spark, f"{path}/traces")
+    with traces.listening():
+        for k in range(2):
+            with traces.stage("arrival"):
+                events.where(F.col("request_id").cast("long") % 2 == k).write.mode("append").parquet(f"{path}/in")
+            curate_stream(read_stream(spark, f"{path}/in"), f"{path}/out", f"{path}/checkpoint", counts=traces.counts(f"{path}/checkpoint")).awaitTermination()
+    with traces.stage("output") as counts:
+        counts["rows"] = read_output(spark, f"{path}/out").count()
+    shown = ("rows", "skipped", "dpo_ready", "missing_generated_impression", "missing_human_impression", "missing_prompt_text", "input_rows")
+    each = traces.rows().select("kind", F.explode("counts").alias("count", "value")).where(F.col("count").isin(*shown))
+    return each.groupBy("kind", "count").agg(F.sum(F.col("value").cast("long")).alias("value"))
+
+
 def unrepeated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first of each run of a user's events of one type, each within a day of the one before; a stream over three spans of time, stopped and started again between them."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -266,7 +283,7 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(store.waiting().select("request_id", F.lit("waiting").alias("place"), "fault", F.col("tries").cast("long"), F.lit(None).cast("string").alias("modality")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, event_lookups, request_contracts, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, judge_accuracy_by_join, judge_answers, streamed_output, unrepeated_events, dashboard, quarantine_replay)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (output_rows, output_details, event_lookup, event_lookups, request_contracts, payload_extraction, event_properties, readiness_scores, document_sentences, finding_checks, clinical_accuracy, field_performance, feedback_rewards, training_export, tenant_rollup, label_rollup, judge_accuracy, judge_accuracy_by_join, judge_answers, streamed_output, traced_batches, unrepeated_events, dashboard, quarantine_replay)}
 
 #: Without SQL: DuckDB's levenshtein counts bytes, not code points.
 NO_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (conversation_edits,)}
@@ -530,6 +547,11 @@ SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_negated, 0)
   tenant_id, body_part, disposition, generator_model_version, count(*) AS requests, count(*) FILTER (WHERE has_dpo_pair) AS with_pair, count(*) FILTER (WHERE is_dpo_ready) AS dpo_ready,
   count(*) FILTER (WHERE is_dpo_training_ready) AS training_ready, count(*) FILTER (WHERE is_human_overridden) AS overridden, {_means("clinical_accuracy_score", "finding_recall_generated", "overall_field_error_rate", "curator_reward_score")}
   FROM output GROUP BY GROUPING SETS ((), (tenant_id), (disposition, generator_model_version), (tenant_id, body_part, disposition))""",
+    "traced_batches": f"""{_GRADED}, {_READY}, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE NOT send) AS skipped, count(*) FILTER (WHERE send AND dpo) AS ready, count(*) FILTER (WHERE send AND gen IS NULL) AS no_gen,
+  count(*) FILTER (WHERE send AND hum IS NULL) AS no_hum, count(*) FILTER (WHERE send AND prompt IS NULL) AS no_prompt FROM ready)
+SELECT 'counts' AS kind, unnest(['rows', 'skipped', 'dpo_ready', 'missing_generated_impression', 'missing_human_impression', 'missing_prompt_text']) AS count,
+  unnest([n, skipped, ready, no_gen, no_hum, no_prompt]) AS value FROM c
+UNION ALL SELECT 'progress', 'input_rows', n FROM c UNION ALL SELECT 'stage', 'rows', n FROM c""",
     "quarantine_replay": """
 WITH k AS (SELECT cast(o_orderkey AS varchar) AS request_id, o_orderkey % 13 = 0 AS mended, o_orderkey % 17 = 0 AS listed, o_orderkey % 19 = 0 AS cut FROM orders)
 SELECT request_id, CASE WHEN NOT mended AND (listed OR cut) THEN 'waiting' ELSE 'good' END AS place,
