@@ -10,16 +10,17 @@ Which units a set takes goes by what they cost. Segments that no other set has c
 they need from such ones. Sets that share a segment are compared with the least of it first, which settles groups of
 close copies; a segment whose holders are settled costs nothing either. What then needs more asks in the segments that
 fewest others hold; where even these are held by many, the one-deletion neighbourhoods are written out, each unit is
-counted for the sets it would meet, and the cheapest are taken. Sets that meet so late are mostly alike but not enough.
-They are sifted first, in blocks of bounded size, by bit maps of a few bits a shingle: each bit is the parity of the
-shingles that fall to it, so two maps differ in no more bits than the sets in shingles, and no link is lost. Links are
-confirmed on full sets throughout.
+counted for the sets it would meet, and the cheapest are taken. Sets that meet are mostly alike but not enough, above all
+those that meet late. They are sifted first, in blocks of bounded size, by bit maps of a few bits a shingle: each bit is
+the parity of the shingles that fall to it, so two maps differ in no more bits than the sets in shingles, and no link is
+lost. Links are confirmed on full sets throughout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,14 @@ _SMALL = 5
 
 @dataclass(frozen=True)
 class JoinParams:
-    """``first_share``: one segment in so many is used to settle close copies first. ``dear``: where more sets than this would meet
+    """``passes``: parts of the segments that are looked at one after another, so that no more than one of them is being sorted out by
+    key at a time. ``first_share``: one segment in so many is used to settle close copies first. ``dear``: where more sets than this would meet
     at a segment that a set has to ask in, one-deletion neighbourhoods are written out for it. ``sift_block`` and ``sift_shingles``: a
     side of the blocks in which bit maps are compared."""
 
     words: int = 5
     percent: int = 80
+    passes: int = 2
     first_share: int = 8
     dear: int = 4096
     block: int = 128
@@ -129,8 +132,8 @@ def signatures(docs: DataFrame, p: JoinParams) -> DataFrame:
     return cut(docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, own binary, low binary"), "signatures")
 
 
-def segments(signed: DataFrame, who: str, p: JoinParams) -> DataFrame:
-    """``key``, the column ``who``, ``n``, ``own``, ``spare``: a row for each segment; how many a set has beyond those that it must ask in."""
+def segments(signed: DataFrame, who: str, p: JoinParams, part: int) -> DataFrame:
+    """``key``, the column ``who``, ``n``, ``own``, ``spare``: a row for each segment of a pass; how many a set has, in all passes, beyond those that it must ask in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +143,8 @@ def segments(signed: DataFrame, who: str, p: JoinParams) -> DataFrame:
                 size = np.array([len(x or b"") // 8 for x in keys], np.int64)
                 most = np.array([levels(int(i), p)[k][2] if x is not None else 0 for i, x in zip(n, keys, strict=True)], np.int64)
                 flat, of = np.frombuffer(b"".join(x for x in keys if x), np.int64), np.repeat(np.arange(len(ids)), size)
-                spare = size - most - 1
+                spare, mine = size - most - 1, flat % p.passes == part
+                flat, of = flat[mine], of[mine]
                 for i in range(0, len(flat), 1 << 17):
                     j = of[i : i + (1 << 17)]
                     columns = [flat[i : i + len(j)], ids[j], n[j], np.full(len(j), level == "own"), spare[j]]
@@ -173,12 +177,13 @@ def _with_components(rows: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
 
 
-def _star(members: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
-    """Links of sets with the least set of a segment they hold."""
+def _star(members: DataFrame, sets: DataFrame, maps: DataFrame, p: JoinParams) -> DataFrame:
+    """Links of sets with the least set of a segment they hold, which is the lesser one of the two."""
     pairs = members.where("id != pivot").select("pivot", "id", "n").distinct()
     least = pairs.select(F.col("pivot").alias("id")).distinct().join(sets.select("id", "n"), "id")
     rows = pairs.select(F.col("pivot").alias("grp"), "id", F.col("id").alias("comp"), "n", F.lit(False).alias("query"))
-    return confirm(rows.unionByName(least.select(F.col("id").alias("grp"), "id", F.col("id").alias("comp"), "n", F.lit(True).alias("query"))), sets, p.blocks)
+    asked = rows.unionByName(least.select(F.col("id").alias("grp"), "id", F.col("id").alias("comp"), "n", F.lit(True).alias("query")))
+    return confirm_pairs(sifted(asked, maps, p).select("a", "b", F.col("b").alias("comp")), sets, p)
 
 
 def contested(rows: DataFrame) -> DataFrame:
@@ -255,7 +260,7 @@ def folded(maps: np.ndarray, words: int) -> np.ndarray:
 
 
 def bit_maps(sets: DataFrame) -> DataFrame:
-    """``id, size, bits``: two to four bits a shingle."""
+    """``id, size, bits``: two to four bits a shingle. Written down."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,7 +271,7 @@ def bit_maps(sets: DataFrame) -> DataFrame:
                 bits.append(parities(tokens, 1 << max(0, (2 * len(tokens) - 1).bit_length() - 6)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), pa.array(bits, pa.binary())], names=["id", "size", "bits"])
 
-    return sets.select("id", "shingles").mapInArrow(run, "id long, size long, bits binary")
+    return cut(sets.select("id", "shingles").mapInArrow(run, "id long, size long, bits binary"), "maps")
 
 
 def sift_block(queries: list[tuple], members: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -295,12 +300,12 @@ def sift_block(queries: list[tuple], members: list[tuple], percent: int) -> tupl
     return np.concatenate([none, *found_q]), np.concatenate([none, *found_m])
 
 
-def sifted(asked: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
+def sifted(asked: DataFrame, maps: DataFrame, p: JoinParams) -> DataFrame:
     """``a, b, first``: pairs met in groups of ``asked`` (as of :func:`confirm`) whose bit maps don't rule a link out; whether to look at them first. Written down.
 
     First are, for each query and component, the pairs of least id in a block.
     """
-    dealt = in_blocks(asked, p.sift_blocks).join(bit_maps(sets), "id")
+    dealt = in_blocks(asked, p.sift_blocks).join(maps, "id")
     dealt = dealt.repartition("grp", "q", "m").sortWithinPartitions("grp", "q", "m")
     percent = p.percent
 
@@ -338,9 +343,11 @@ def confirm_pairs(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame
     return confirm(members.unionByName(queries), sets, p.blocks)
 
 
-def _links_met(asked: DataFrame, links: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
+def _links_met(asked: DataFrame, links: DataFrame, sets: DataFrame, maps: DataFrame, p: JoinParams) -> DataFrame:
     """``links`` and those among sets that meet in groups of ``asked``: sifted, then the first of each component confirmed, then what is still apart."""
-    pairs = sifted(asked, sets, p)
+    pairs = sifted(asked, maps, p)
+    left = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = cut(sets.join(left, "id", "left_semi"), "sets-left")
     for chosen in (pairs.where("first"), pairs.where("not first")):
         known = components(links)
         near = known.select(F.col("node").alias("a"), F.col("component").alias("own"))
@@ -354,11 +361,14 @@ def _classes_linked(docs: DataFrame, p: JoinParams) -> DataFrame:
     signed = signatures(docs, p)
     full = signed.where("n > 0 and doc_id is not null")
     classes = cut(full.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("other"), F.first("n").alias("n")), "classes")
-    shared = segments(full, "f1", p).groupBy("key").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi"), F.max("own").alias("own")).where("own and lo != hi").select("key")
-    shared = cut(shared, "shared")
-    rows = segments(full, "doc_id", p).withColumnRenamed("doc_id", "id").join(shared, "key", "left_semi").join(classes.select("id"), "id", "left_semi")
-    rows = cut(rows, "rows")
-    drop(shared)
+    passes = []
+    for part in range(p.passes):
+        shared = segments(full, "f1", p, part).groupBy("key").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi"), F.max("own").alias("own")).where("own and lo != hi").select("key")
+        shared = cut(shared, "shared")
+        rows = segments(full, "doc_id", p, part).withColumnRenamed("doc_id", "id").join(shared, "key", "left_semi").join(classes.select("id"), "id", "left_semi")
+        passes.append(cut(rows, "rows"))
+        drop(shared)
+    rows = reduce(DataFrame.unionAll, passes)
     heads = cut(signed.select("doc_id", "n", "f1", "f2"), "heads")
     drop(signed)
     held = cut(contested(rows), "held")
@@ -366,16 +376,19 @@ def _classes_linked(docs: DataFrame, p: JoinParams) -> DataFrame:
     members = cut(held.join(held.groupBy("key").agg(F.min("id").alias("pivot")), "key"), "members")
     drop(held)
     sets = shingle_sets(docs, members.select("id").distinct(), p.words)
-    links = _star(members.where(F.pmod("key", F.lit(p.first_share)) == 0), sets, p)
+    maps = bit_maps(sets)
+    links = _star(members.where(F.pmod("key", F.lit(p.first_share)) == 0), sets, maps, p)
     known = components(links)
     pivot = known.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_comp"))
     apart = _with_components(members, known).join(pivot, "pivot", "left").where(F.coalesce("pivot_comp", "pivot") != F.col("comp"))
-    links = links.unionAll(_star(apart, sets, p))
+    links = links.unionAll(_star(apart, sets, maps, p))
     known = components(links)
     met, hot, held = asking(members, known, p)
     drop(members)
-    met = met.unionByName(cheapest(units(sets.join(held, "id", "left_semi"), p), cut(hot, "hot")).select("key", "id", "n")).distinct()
-    links = _links_met(cut(at_home(met, known), "home"), links, sets, p)
+    hot = cut(hot, "hot")
+    if not hot.isEmpty():
+        met = met.unionByName(cheapest(units(sets.join(held, "id", "left_semi"), p), hot).select("key", "id", "n")).distinct()
+    links = _links_met(cut(at_home(met, known), "home"), links, sets, maps, p)
     drop(sets)
     known = components(links)
     lead = classes.join(known.withColumnRenamed("node", "id"), "id", "left").select("f1", "f2", "id", "other", F.coalesce("component", "id").alias("component"))

@@ -7,10 +7,12 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute as B  # noqa: E402
 
+from radpref.llm import set_join as S  # noqa: E402
 from radpref.llm.near_dedup import mixed  # noqa: E402
 from radpref.llm.set_join import JoinParams, folded, jaccard_join, levels, neighbourhood, parities, segment_keys, sift_block  # noqa: E402
 
@@ -130,3 +132,25 @@ def test_sift_keeps_all_links_and_few_others():
     assert len([x for x in got if true[x] < 0.7]) == 0
     same = [(i, 1, n, bits) for i, _, n, bits in rows]  # one component: nothing to find
     assert len(sift_block(same, same, 80)[0]) == 0
+
+
+def test_passes_share_out_all_segments(spark):
+    docs = frame(spark, [d for d in corpus() if d[1]][:120]).withColumn("text", F.col("text").cast("binary"))
+    signed = S.signatures(docs, JoinParams())
+    rows = lambda passes, part: sorted(map(tuple, S.segments(signed, "doc_id", JoinParams(passes=passes), part).collect()))
+    parts = [rows(3, k) for k in range(3)]
+    assert sorted(sum(parts, [])) == rows(1, 0)
+    assert all(parts) and not {x[0] for x in parts[0]} & {x[0] for x in parts[1] + parts[2]}
+
+
+def test_full_sets_are_fetched_only_for_pairs_that_may_be_links(spark, monkeypatch):
+    """Of a family alike but not enough, bit maps rule out all pairs; where no segment is held by many, no neighbourhoods are made."""
+    r, asked = random.Random(3), []
+    line = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    base = line(200)
+    docs = [(k, " ".join(base + line(60))) for k in range(20)]
+    docs.append((20, docs[7][1] + " one more"))
+    monkeypatch.setattr(S, "confirm", lambda rows, *more, f=S.confirm: asked.extend(rows.collect()) or f(rows, *more))
+    monkeypatch.setattr(S, "units", lambda *_: pytest.fail("neighbourhoods of rare segments"))
+    assert {i: c for i, (_, c) in got(jaccard_join(frame(spark, docs))).items()} == {k: k for k in range(20)} | {20: 7}
+    assert {x["id"] for x in asked} == {7, 20}
