@@ -10,12 +10,14 @@ Files follow one another by ascending document id.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -54,6 +56,18 @@ def is_plain(word: bytes) -> bool:
     return word.isascii() and word.islower() or ((t := word.decode()).lower() == t and unicodedata.is_normalized("NFC", t))
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without the collector of cycles, as it would walk a batch's lists of words again and again; these hold none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def goes_by_words(path: str) -> bool:
     """Whether a tokenizer file is of the make that :class:`WordEncoder` takes apart.
 
@@ -107,16 +121,16 @@ class WordEncoder:
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _together(self, words: list[str], plain: bool) -> list[bytes]:
+    def _together(self, words: list[bytes], plain: bool) -> list[bytes]:
         """Of words of letters only, which are one piece each; ``plain``: as :func:`is_plain` says."""
         out: list[bytes] = []
         tokenizer = self.plain if plain else self.tokenizer
         groups = [words[i : i + 200] for i in range(0, len(words), 200)]
-        for group, x in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        for group, x in zip(groups, tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(x.ids, self.dtype)
             edges = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(edges) != len(group):
-                out += self._each(group)
+                out += self._each([w.decode() for w in group])
                 continue
             raw, n = ids.tobytes(), self.dtype.itemsize
             out += [raw[a * n : b * n] for a, b in zip([0, *edges], edges, strict=False)]
@@ -128,27 +142,31 @@ class WordEncoder:
             self.known = {w: self.known[w] for w in words & self.last if w in self.known}
             new = words.difference(self.known)
         self.last = words
-        bare: dict[bytes, list[bytes]] = {}
-        for w in new:
-            stem = w[:-1] if w[-1:] in _STOPS and letters_only(w[:-1]) else w
-            bare.setdefault(stem if b"<" in stem else stem.lower(), []).append(w)
+        stems, ids_of = [], {}
         plain, letters, others = [], [], []
-        for k in bare:
-            (others if not letters_only(k) else plain if is_plain(k) else letters).append(k)
-        ways = ((plain, lambda x: self._together(x, True)), (letters, lambda x: self._together(x, False)), (others, self._each))
+        for w in new:
+            k = w if b"<" in w else w.lower()
+            if not (simple := k.isalpha()) and k[-1:] in _STOPS and ((simple := k[:-1].isalpha()) or letters_only(k[:-1])):
+                k = k[:-1]
+            stems.append(k)
+            if k not in ids_of:
+                ids_of[k] = self.known.get(k)
+                if ids_of[k] is None:
+                    (plain if simple else others if not letters_only(k) else plain if is_plain(k) else letters).append(k)
+        ways = ((plain, lambda x: self._together(x, True)), (letters, lambda x: self._together(x, False)), (others, lambda x: self._each([k.decode() for k in x])))
         for keys, encode in ways:
             for i in range(0, len(keys), 20_000):
                 part = keys[i : i + 20_000]
-                for k, ids in zip(part, encode([x.decode() for x in part]), strict=True):
-                    for w in bare[k]:
-                        self.known[w] = ids if len(w) == len(k) else ids + self.stop[w[-1:]]
+                ids_of.update(zip(part, encode(part), strict=True))
+        self.known.update((w, ids_of[k] if len(w) == len(k) else ids_of[k] + self.stop[w[-1:]]) for w, k in zip(new, stems, strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_words:
             return self._each([t.decode() for t in texts])
-        split = [t.split() for t in texts]
-        self.learn({w for ws in split for w in ws})
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in split]
+        with uncollected():
+            split = [(t if b"<" in t else t.lower()).split() for t in texts]
+            self.learn(set().union(*split))
+            return [b"".join(map(self.known.__getitem__, ws)) for ws in split]
 
 
 @lru_cache(2)

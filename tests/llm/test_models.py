@@ -1,5 +1,6 @@
 """Trained operators, the token files and the pipeline."""
 
+import gc
 import random
 import sys
 from pathlib import Path
@@ -302,6 +303,18 @@ def test_tokenizers_of_another_make_are_left_to_the_library():
     assert [np.frombuffer(x, e.dtype).tolist() for x in e.encode([t.encode() for t in texts])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_asks_once_for_a_word_and_is_not_collected():
+    """Case, a stop behind it and an earlier batch don't make a word new; the collector rests while words are learned, and only then."""
+    e, asked, collected = O.WordEncoder(O.public_tokenizers.path(O.TOKENIZER)), [], []
+    e._together = lambda keys, plain, f=e._together: asked.extend(keys) or f(keys, plain)
+    e.learn = lambda ws, f=e.learn: collected.append(gc.isenabled()) or f(ws)
+    texts = ["Word word, WORD. \u00c9t\u00e9 \u00e9t\u00e9 \u00e9t\u00e9,", "word! WORD, \u00e9t\u00e9. w0rd Word<|endoftext|>Word. <S> <s> x<S>Word", "a,b. .A ,"]
+    got = [np.frombuffer(e.encode([t.encode()])[0], e.dtype).tolist() for t in texts]
+    assert got == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked.count(b"word") == 1 and asked.count("\u00e9t\u00e9".encode()) == 1
+    assert gc.isenabled() and collected == [False] * 3
+
+
 def test_encoder_forgets_and_still_agrees(monkeypatch):
     monkeypatch.setattr(O, "_CACHE", 50)
     e = O.WordEncoder(O.public_tokenizers.path(O.TOKENIZER))
