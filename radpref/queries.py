@@ -102,7 +102,7 @@ def document_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def finding_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every finding of every request against both texts."""
-    c = curate(derived_events(spark, sf_dir)).select("request_id", F.posexplode("response.analytics.clinical_accuracy.finding_checks").alias("pos", "c"))
+    c = _placed(derived_events(spark, sf_dir)).select("request_id", F.posexplode(finding_checks_of(F.col("placed"))).alias("pos", "c"))
     names = ["label", "presence", "severity", "location", "mentioned_in_generated", "mentioned_in_human", "laterality_match_generated", "laterality_match_human", "severity_match_generated", "severity_match_human", "is_critical", "critical_captured_generated", "critical_captured_human"]
     return c.select("request_id", (F.col("pos") + 1).cast("long").alias("pos"), *[F.col(f"c.{n}").alias(n) for n in names])
 

@@ -26,6 +26,7 @@ def plan_of(df):
     ("name", "has", "lacks"),
     [
         ("payload_extraction", (), (GRADES, SIZES, DISTANCE)),
+        ("finding_checks", (GRADES,), (SIZES, DISTANCE)),
     ],
 )
 def test_plan(spark, name, has, lacks):
