@@ -27,6 +27,7 @@ def plan_of(df):
     [
         ("payload_extraction", (), (GRADES, SIZES, DISTANCE)),
         ("finding_checks", (GRADES,), (SIZES, DISTANCE)),
+        ("field_performance", (GRADES, SIZES), (DISTANCE,)),
     ],
 )
 def test_plan(spark, name, has, lacks):
