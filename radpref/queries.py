@@ -123,7 +123,8 @@ def field_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feedback_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dispositions, edit distances and rewards of every request not skipped."""
-    hf = curate(derived_events(spark, sf_dir)).select("request_id", F.col("response.analytics.human_feedback").alias("hf")).where("hf is not null")
+    p = prepare(derived_events(spark, sf_dir), "is_skipped", "placed", "generated", "gen_normal", "hum_normal").where("not is_skipped")
+    hf = human_feedback(accuracy_of(p)).select("request_id", F.col("human_feedback").alias("hf"))
     return hf.select("request_id", "hf.*")
 
 
