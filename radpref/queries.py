@@ -191,7 +191,7 @@ def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks by label over all requests."""
-    return rollup_findings(curate(derived_events(spark, sf_dir)))
+    return rollup_checks(_placed(derived_events(spark, sf_dir)).select(F.explode(finding_checks_of(F.col("placed"))).alias("c")))
 
 
 def judge_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
