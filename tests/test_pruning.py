@@ -28,6 +28,7 @@ def plan_of(df):
         ("payload_extraction", (), (GRADES, SIZES, DISTANCE)),
         ("finding_checks", (GRADES,), (SIZES, DISTANCE)),
         ("label_rollup", (GRADES,), (SIZES, DISTANCE)),
+        ("clinical_accuracy", (GRADES,), (SIZES, DISTANCE)),
         ("field_performance", (GRADES, SIZES), (DISTANCE,)),
         ("feedback_rewards", (GRADES, DISTANCE), (SIZES,)),
     ],
