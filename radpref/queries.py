@@ -236,9 +236,11 @@ def judge_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _judged_rates(events: DataFrame, answers: DataFrame) -> DataFrame:
-    out = curate(events, Settings(mode="llm"), answers)
-    ca = F.col("response.analytics.clinical_accuracy")
-    shown = out.where(~F.col("response.trace.skipped")).select("request_id", ca.alias("ca"), F.col("error"), F.col("response.analytics.estimated_cost_usd").alias("cost"))
+    p = prepare(events, "is_skipped", "payload_failed", "placed", "findings", "can_grade").where("not is_skipped")
+    out = with_field_error(judged_accuracy(p, answers))
+    error = F.coalesce(F.when(F.col("payload_failed"), "payload is not JSON"), F.col("judge_failed"), F.col("field_error"))
+    cost = estimated_cost(F.col("judge_prompt_tokens"), F.col("judge_completion_tokens"), Settings().provider)
+    shown = out.select("request_id", F.col("clinical_accuracy").alias("ca"), error.alias("error"), cost.alias("cost"))
     return shown.select("request_id", "error", "cost", *[F.col(f"ca.{n}").alias(n) for n in _ACCURACY], F.col("ca.generated_supported_mentions_count").alias("supported"))
 
 

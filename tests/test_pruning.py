@@ -31,6 +31,7 @@ def plan_of(df):
         ("clinical_accuracy", (GRADES,), (SIZES, DISTANCE)),
         ("field_performance", (GRADES, SIZES), (DISTANCE,)),
         ("feedback_rewards", (GRADES, DISTANCE), (SIZES,)),
+        ("judge_accuracy", (GRADES, SIZES), (DISTANCE,)),
     ],
 )
 def test_plan(spark, name, has, lacks):
