@@ -226,7 +226,7 @@ def literal_judge() -> Callable[[str], dict]:
 def judge_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts of all requests, asked into a table of answers in two runs, and what the answers say, finding by finding."""
     path, events = shared_dir(spark, "answers"), derived_events(spark, sf_dir)
-    prompts(prepare(events)).write.parquet(f"{path}/asked")
+    prompts(prepare(events, "is_skipped", "can_grade", "findings", "case", "generated")).write.parquet(f"{path}/asked")
     asked = spark.read.parquet(f"{path}/asked")
     ask_missing(asked, f"{path}/answers", literal_judge)
     again = ask_missing(asked, f"{path}/answers", literal_judge)
