@@ -79,7 +79,7 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readiness_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate, readiness and completeness of every request."""
     r = F.col("response")
-    out = curate(derived_events(spark, sf_dir))
+    out = curate(derived_events(spark, sf_dir), metrics=False)
     return out.select(
         "request_id",
         r["trace"]["skipped"].alias("skipped"),

@@ -26,6 +26,7 @@ def plan_of(df):
     ("name", "has", "lacks"),
     [
         ("payload_extraction", (), (GRADES, SIZES, DISTANCE)),
+        ("readiness_scores", (), (GRADES, SIZES, DISTANCE)),
         ("finding_checks", (GRADES,), (SIZES, DISTANCE)),
         ("label_rollup", (GRADES,), (SIZES, DISTANCE)),
         ("clinical_accuracy", (GRADES,), (SIZES, DISTANCE)),
