@@ -139,7 +139,7 @@ def conversation_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt, chosen and rejected of all requests ready for training."""
-    return training_records(flatten(curate(derived_events(spark, sf_dir))))
+    return training_records(flatten(curate(derived_events(spark, sf_dir), metrics=False)))
 
 
 def output_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

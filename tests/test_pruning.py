@@ -27,6 +27,7 @@ def plan_of(df):
     [
         ("payload_extraction", (), (GRADES, SIZES, DISTANCE)),
         ("readiness_scores", (), (GRADES, SIZES, DISTANCE)),
+        ("training_export", (), (GRADES, SIZES, DISTANCE)),
         ("finding_checks", (GRADES,), (SIZES, DISTANCE)),
         ("label_rollup", (GRADES,), (SIZES, DISTANCE)),
         ("clinical_accuracy", (GRADES,), (SIZES, DISTANCE)),
