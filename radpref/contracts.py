@@ -81,67 +81,75 @@ def struct_type(contract: str) -> T.StructType:
     return T.StructType([T.StructField(name, one(f)) for name, f in CONTRACTS[contract].items()])
 
 
-def _is_object(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string, variant>").isNotNull()
+def _within(at: str, name: str) -> str:
+    return f"{at}.{name}" if at else name
 
 
-def _scalar(v: Column, kind: str) -> Column:
-    """A scalar of that kind; null for anything that is not one. Numbers may stand as text, truth values as words or 0 and 1."""
-    text = F.when(V.kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+def _is_object(v: Column, at: str = "") -> Column:
+    return F.coalesce(F.try_variant_get(v, f"$.{at}" if at else "$", "map<string, binary>").isNotNull(), F.lit(False))
+
+
+def _scalar(v: Column, at: str, kind: str) -> Column:
+    """A scalar of that kind at a path; null for anything that is not one. Numbers may stand as text, truth values as words or 0 and 1."""
+    text = V.text_at(v, at)
     if kind == "string":
         return text
+    number = V.number_at(v, at)
     if kind == "boolean":
         words = F.when(F.lower(text).isin("true", "yes", "on", "t", "y", "1"), True).when(F.lower(text).isin("false", "no", "off", "f", "n", "0"), False)
-        return F.coalesce(F.when(V.number(v) == 1, True).when(V.number(v) == 0, False), words)
-    number = F.coalesce(V.number(v), text.try_cast("double"))
+        return F.coalesce(F.when(number == 1, True).when(number == 0, False), words)
+    number = F.coalesce(number, text.try_cast("double"))
     return number if kind == "double" else F.when(number == F.floor(number), number.try_cast("long"))
 
 
 def faults(v: Column, contract: str) -> Column:
     """What is wrong with a variant that should be a contract's object: an array of "path: fault" in the order of its fields, empty if nothing is."""
-    return F.when(F.coalesce(_is_object(v), F.lit(False)), _object_faults(v, contract, F.lit(""))).otherwise(F.array(F.lit("not an object")))
+    return F.when(_is_object(v), _object_faults(v, "", contract, F.lit(""))).otherwise(F.array(F.lit("not an object")))
 
 
-def _object_faults(v: Column, contract: str, path: Column) -> Column:
-    return F.flatten(F.array(*[_faults(V.at(v, name), f, F.concat(path, F.lit(name))) for name, f in CONTRACTS[contract].items()]))
+def _object_faults(v: Column, at: str, contract: str, path: Column) -> Column:
+    return F.flatten(F.array(*[_faults(v, _within(at, name), f, F.concat(path, F.lit(name))) for name, f in CONTRACTS[contract].items()]))
 
 
-def _faults(v: Column, f: Field, path: Column) -> Column:
+def _faults(v: Column, at: str, f: Field, path: Column) -> Column:
+    """Of what stands at a path of a variant: parts are read from the whole by their paths, as each part taken out would be a copy."""
     none = F.array().cast("array<string>")
     fault = lambda text: F.array(F.concat(path, F.lit(f": {text}")))
-    is_null = F.coalesce(V.kind(v) == "VOID", F.lit(False)) if f.kind in _NAMES and not f.many else F.try_variant_get(v, "$", "string").isNull() & ~F.coalesce(_is_object(v), F.lit(False)) & V.elements(v).isNull()
     if f.many:
         each = f._replace(many=False, required=True, nullable=False)
-        bad, word = V.elements(v).isNull(), "a list"
-        inner = F.flatten(F.transform(V.elements(v), lambda e, i: _faults(e, each, F.concat(path, F.lit("["), i, F.lit("]")))))
+        good, word = V.is_array(v, at), "a list"
+        inner = F.flatten(F.transform(V.elements(v, at), lambda e, i: _faults(e, "", each, F.concat(path, F.lit("["), i, F.lit("]")))))
     elif f.kind in _NAMES:
-        value = _scalar(v, f.kind)
-        bad, word, inner = value.isNull(), f"a {_NAMES[f.kind]}", none
+        value = _scalar(v, at, f.kind)
+        good, word, inner = value.isNotNull(), f"a {_NAMES[f.kind]}", none
         if f.allowed:
             inner = F.when(~value.isin(*f.allowed), fault("not a known value")).otherwise(none)
         if f.low is not None:
             inner = F.when(~value.between(f.low, f.high), fault(f"not within {f.low:g} and {f.high:g}")).otherwise(none)
     else:
-        bad, word = ~F.coalesce(_is_object(v), F.lit(False)), "an object"
-        inner = none if f.kind == "object" else _object_faults(v, f.kind, F.concat(path, F.lit(".")))
-    return F.when(v.isNull(), fault("missing") if f.required else none).when(is_null, none if f.nullable else fault("null")).when(bad, fault(f"not {word}")).otherwise(inner)
+        good, word = _is_object(v, at), "an object"
+        inner = none if f.kind == "object" else _object_faults(v, at, f.kind, F.concat(path, F.lit(".")))
+    there = v if not at else V.at(v, at)
+    other = F.when(there.isNull(), fault("missing") if f.required else none).when(F.is_variant_null(there), none if f.nullable else fault("null"))
+    return F.when(good, inner).otherwise(other.otherwise(fault(f"not {word}")))
 
 
-def typed(v: Column, contract: str) -> Column:
-    """A contract's object as a struct of :func:`struct_type`; what is missing has its default, what has a wrong type is null."""
+def typed(v: Column, contract: str, at: str = "") -> Column:
+    """A contract's object, at a path of a variant, as a struct of :func:`struct_type`; what is missing has its default, what has a wrong type is null."""
 
-    def value(x: Column, f: Field) -> Column:
+    def value(x: Column, place: str, f: Field) -> Column:
         if f.kind in _NAMES:
-            return _scalar(x, f.kind)
-        return F.when(_is_object(x), x if f.kind == "object" else typed(x, f.kind))
+            return _scalar(x, place, f.kind)
+        return F.when(_is_object(x, place), V.at(x, place) if f.kind == "object" and place else x if f.kind == "object" else typed(x, f.kind, place))
 
     def one(name: str, f: Field) -> Column:
-        x = V.at(v, name)
+        place = _within(at, name)
+        missing = V.at(v, place).isNull()
         if f.many:
-            given = F.transform(V.elements(x), lambda e: value(e, f))
+            given = F.transform(V.elements(v, place), lambda e: value(e, "", f))
             empty = F.array().cast(struct_type(contract)[name].dataType)
-            return (given if f.nullable else F.when(x.isNull(), empty).otherwise(given)).alias(name)
-        given = value(x, f)
-        return (given if f.default is None else F.when(x.isNull(), F.lit(f.default)).otherwise(given)).alias(name)
+            return (given if f.nullable else F.when(missing, empty).otherwise(given)).alias(name)
+        given = value(v, place, f)
+        return (given if f.default is None else F.coalesce(given, F.when(missing, F.lit(f.default)))).alias(name)
 
     return F.struct(*[one(name, f) for name, f in CONTRACTS[contract].items()])

@@ -47,28 +47,28 @@ def number(v: Column) -> Column:
 
 
 def is_object(v: Column, path: str = "") -> Column:
-    """A non-empty object. Its values are not copied: nothing of them is read but truth values."""
-    return F.coalesce(F.size(_get(v, path, "map<string, boolean>")) > 0, F.lit(False))
+    """A non-empty object. Its values are not copied: nothing of them is read but the bytes of texts, which, unlike numbers or truth values, any text can be read as without an exception."""
+    return F.coalesce(F.size(_get(v, path, "map<string, binary>")) > 0, F.lit(False))
 
 
-def is_array(v: Column) -> Column:
-    return _get(v, "", "array<boolean>").isNotNull()
+def is_array(v: Column, path: str = "") -> Column:
+    return _get(v, path, "array<binary>").isNotNull()
 
 
 def length(v: Column, path: str = "") -> Column:
     """The number of elements of an array; null for anything else."""
-    some = _get(v, path, "array<boolean>")
+    some = _get(v, path, "array<binary>")
     return F.when(some.isNotNull(), F.size(some))
 
 
-def elements(v: Column) -> Column:
+def elements(v: Column, path: str = "") -> Column:
     """The elements of an array, each a variant; null for anything else."""
-    return F.try_variant_get(v, "$", "array<variant>")
+    return _get(v, path, "array<variant>")
 
 
 def truthy(v: Column, path: str = "") -> Column:
     """True numbers but 0, texts but the empty one, non-empty arrays and objects."""
-    return F.coalesce(text_at(v, path) != "", _get(v, path, "double") != 0, F.size(_get(v, path, "map<string, boolean>")) > 0, F.size(_get(v, path, "array<boolean>")) > 0, F.lit(False))
+    return F.coalesce(text_at(v, path) != "", _get(v, path, "double") != 0, F.size(_get(v, path, "map<string, binary>")) > 0, F.size(_get(v, path, "array<binary>")) > 0, F.lit(False))
 
 
 def shown(v: Column, path: str = "") -> Column:

@@ -50,3 +50,9 @@ def test_prompts_need_no_sentences(spark):
     events = from_rows(spark, [{"request_id": "a"}])
     assert GRADES in plan_of(prepare(events))
     assert GRADES not in plan_of(prompts(prepare(events, "is_skipped", "can_grade", "findings", "case", "generated")))
+
+
+def test_contracts_read_by_whole_paths(spark):
+    """No copy of a part is made to look into it, and no type is asked for as text."""
+    plan = plan_of(QUERIES["request_contracts"](spark, DATA))
+    assert "SchemaOfVariant" not in plan and "$.case.exam.modality" in plan
